@@ -22,21 +22,6 @@ MESSAGES = {
 }
 
 
-def _message(field, kind):
-    if field == "result":
-        wrong_code = F.concat(
-            F.lit("Value error, Invalid result code: '"),
-            F.col("result"),
-            F.lit("'. Must be POS, NEG, or N/A"),
-        )
-        text = F.when(kind == "value_error", wrong_code)
-    else:
-        text = F
-    for name, message in MESSAGES.items():
-        text = text.when(kind == name, F.lit(message))
-    return text
-
-
 def _absent(field, has_missing, present):
     """Whether the file of the row lacks the column."""
     if has_missing:
@@ -45,26 +30,41 @@ def _absent(field, has_missing, present):
 
 
 def _error_types(absent):
+    """Why each field fails, or null. Per field the first condition that holds decides."""
     date, code, load = F.col("test_date"), F.col("result"), F.col("viral_load")
-    return {
-        "sample_id": F.when(absent["sample_id"], "missing").when(
-            F.col("sample_id").isNull(), "string_type"
-        ),
-        "test_date": F.when(absent["test_date"], "missing")
-        .when(date.isNull(), "date_type")
-        .when(F.col("valid_date").isNull(), parsing.date_error(date)),
-        "result": F.when(absent["result"], "missing")
-        .when(code.isNull(), "string_type")
-        .when(~code.isin(RESULT_CODES), "value_error"),
-        "viral_load": F.when(absent["viral_load"], "missing")
-        .when(load.isNull(), "int_type")
-        .when(
-            F.col("valid_load").isNull(),
-            F.when(parsing.looks_integer(load), "int_overflow").otherwise(
-                "int_parsing"
-            ),
-        ),
+    int_error = F.when(parsing.looks_integer(load), "int_overflow").otherwise("int_parsing")
+    checks = {
+        "sample_id": ("string_type", None, None),
+        "test_date": ("date_type", F.col("valid_date").isNull(), parsing.date_error(date)),
+        "result": ("string_type", ~code.isin(RESULT_CODES), F.lit("value_error")),
+        "viral_load": ("int_type", F.col("valid_load").isNull(), int_error),
     }
+    types = {}
+    for field, (null_type, failed, error_type) in checks.items():
+        found = F.when(absent[field], "missing").when(F.col(field).isNull(), null_type)
+        types[field] = found if failed is None else found.when(failed, error_type)
+    return types
+
+
+def _message(field, error_type):
+    messages = F.create_map(*[F.lit(x) for pair in MESSAGES.items() for x in pair])
+    known = F.element_at(messages, error_type)
+    if field != "result":
+        return known
+    return F.coalesce(
+        known, F.concat(F.lit("Value error, Invalid result code: '"), field, F.lit("'. Must be POS, NEG, or N/A"))
+    )
+
+
+def _error(field, error_type):
+    """A list of at most one error."""
+    error = F.struct(
+        F.lit(field).alias("field"),
+        error_type.alias("type"),
+        _message(field, error_type).alias("msg"),
+        F.col(field).alias("input"),
+    )
+    return F.when(error_type.isNotNull(), F.array(error)).otherwise(F.array().cast(f"array<{ERROR}>"))
 
 
 def validate(feed):
@@ -72,7 +72,8 @@ def validate(feed):
 
     A contract column the feed lacks is added as null and reported as ``missing``; a column ``missing`` names absent
     columns per row, for feeds united from files with different headers. All other columns pass through. The whole
-    check is one projection without a shuffle; ``errors`` is only computed where it is read.
+    check is a chain of projections without a shuffle, short enough each to be compiled; ``errors`` is only computed
+    where it is read.
     """
     present = set(feed.columns)
     has_missing = "missing" in present
@@ -80,42 +81,35 @@ def validate(feed):
     for field in FIELDS:
         if field not in present:
             feed = feed.withColumn(field, F.lit(None).cast("string"))
+    columns = feed.columns
     parsed = feed.withColumns(
         {
             "valid_date": parsing.lax_date(F.col("test_date")),
             "valid_load": parsing.lax_int(F.col("viral_load")),
         }
     )
+    typed = parsed.withColumns({f"{f}_error": t for f, t in _error_types(absent).items()})
     ok = (
         F.col("sample_id").isNotNull()
         & F.col("valid_date").isNotNull()
         & F.coalesce(F.col("result").isin(RESULT_CODES), F.lit(False))
         & F.col("valid_load").isNotNull()
     )
-    none = F.array().cast(f"array<{ERROR}>")
-    parts = []
-    for field, kind in _error_types(absent).items():
-        error = F.struct(
-            F.lit(field).alias("field"),
-            kind.alias("type"),
-            _message(field, kind).alias("msg"),
-            F.col(field).alias("input"),
-        )
-        parts.append(
-            F.when(kind.isNotNull(), F.array(error).cast(f"array<{ERROR}>")).otherwise(
-                none
-            )
-        )
-    return parsed.withColumns({"ok": ok, "errors": F.concat(*parts)})
+    errors = F.concat(*[_error(f, F.col(f"{f}_error")) for f in FIELDS])
+    return typed.select(*columns, "valid_date", "valid_load", ok.alias("ok"), errors.alias("errors"))
 
 
 def valid_rows(validated, keep=()):
-    """Rows that meet the contract, typed; extra feed columns are dropped unless named in ``keep``."""
+    """Rows that meet the contract, typed; extra feed columns are dropped unless named in ``keep``.
+
+    The columns are declared not null, as the contract has them. Without that the planner would add null checks for
+    later join and partition keys, and each would parse the text once more.
+    """
     return validated.filter("ok").select(
-        "sample_id",
-        F.col("valid_date").alias("test_date"),
-        "result",
-        F.col("valid_load").alias("viral_load"),
+        F.coalesce("sample_id", F.lit("")).alias("sample_id"),
+        F.coalesce("valid_date", F.lit("1970-01-01").cast("date")).alias("test_date"),
+        F.coalesce("result", F.lit("")).alias("result"),
+        F.coalesce("valid_load", F.lit(0)).alias("viral_load"),
         *keep,
     )
 

@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 FILES = 5
 
 
-def orders_feed(orders):
-    """A text feed with wrong dates, codes and loads at fixed order keys."""
+def orders_feed(orders, keep=()):
+    """A text feed with wrong dates, codes and loads at fixed order keys; ``keep`` names order columns to pass on."""
     key = F.col("o_orderkey")
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
     code = F.when(F.col("o_orderstatus") == "F", "POS").when(F.col("o_orderstatus") == "O", "NEG").otherwise("N/A")
@@ -18,17 +18,18 @@ def orders_feed(orders):
         F.when(key % 29 == 0, "x").when(key % 31 != 0, load).alias("viral_load"),
         F.concat(F.lit("Lab_Results_"), key % FILES, F.lit(".csv")).alias("source_file"),
         key.alias("row_pos"),
+        *keep,
     )
 
 
 def lax_feed(orders):
     """A feed whose dates and loads take every text form the contract admits, and some it does not."""
-    key = F.col("o_orderkey")
+    key = F.col("row_pos")
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
     epoch = F.unix_date(F.col("o_orderdate").cast("date")) * F.lit(86400).cast("bigint")
     load = F.floor("o_totalprice").cast("string")
     return (
-        orders_feed(orders)
+        orders_feed(orders, keep=["o_orderdate", "o_totalprice"])
         .withColumn(
             "test_date",
             F.when(key % 12 == 1, F.concat(day, F.lit("T00:00:00")))
@@ -56,16 +57,17 @@ def lax_feed(orders):
             .when(key % 11 == 9, "")
             .otherwise(load),
         )
+        .drop("o_orderdate", "o_totalprice")
     )
 
 
-def deletion_requests(customer, feed_records):
+def deletion_requests(customer, records, files=FILES):
     """Requests for every record of every tenth customer, as typed ``sample_id`` and ``test_date``."""
     asked = customer.filter("c_custkey % 10 = 0").select(
         F.concat(F.lit("S-"), F.col("c_custkey")).alias("sample_id"), "c_nationkey"
     )
-    return feed_records.join(asked, "sample_id").select(
+    return records.join(asked, "sample_id").select(
         "sample_id",
         "test_date",
-        F.concat(F.lit("Requests_"), F.col("c_nationkey") % FILES, F.lit(".csv")).alias("source_file"),
+        F.concat(F.lit("Requests_"), F.col("c_nationkey") % files, F.lit(".csv")).alias("source_file"),
     )

@@ -6,11 +6,15 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings the operators rely on. AQE splits skewed shuffle partitions and turns a join into a broadcast join when
-# the measured size of one side allows it.
+# the measured size of one side allows it. Lake partitions are many and mostly small, so writing costs per file and is
+# spread over all cores even where the rows would fit one task.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    # Recording the Python line of every column expression doubles the time to build the wide ones used here.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64kb",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 

@@ -6,14 +6,16 @@ run that was interrupted after sealing is finished by the next one, and a run th
 leaves no trace. One run at a time may work on the same zones.
 """
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import functions as F
-
 from labflow.functions.partition import KEY
+from labflow.schema import LAKE
 from labflow.sources.storage import Folder, has_files, subfolders
 
 STAGING = "_staging"
+# Partition folders moved at the same time.
+MOVERS = 16
 LEDGER = "path string, length bigint, modificationTime timestamp"
 
 
@@ -71,8 +73,10 @@ class Run:
 
     def finish(self):
         """Move sealed outputs into place: lake, quarantine, audit rows, ledger. Safe to repeat."""
-        for names, partition in subfolders(self._folder("lake", "rows"), len(KEY)):
-            self._place("lake", "/".join(names)).replace_with(partition)
+        lake = Folder(self.spark, self.zones.lake)
+        moves = [(lake.child("/".join(names)), part) for names, part in subfolders(self._folder("lake", "rows"), 2)]
+        with ThreadPoolExecutor(MOVERS) as pool:
+            list(pool.map(lambda move: move[0].replace_with(move[1]), moves))
         if self._folder("lake", "emptied").exists():
             emptied = self.spark.read.schema("year int, week int").json(self.staged("lake", "emptied"))
             for year, week in emptied.toLocalIterator():
@@ -123,10 +127,5 @@ def retire(spark, paths):
 
 def staged_rows(run):
     """The staged partitions as rows."""
-    return run.spark.read.schema("sample_id string, test_date date, result string, viral_load bigint, year int, week int").parquet(
-        run.staged("lake", "rows")
-    )
-
+    return run.spark.read.schema(LAKE).parquet(run.staged("lake", "rows"))
 
-def with_run(df, run_id):
-    return df.withColumn("run_id", F.lit(run_id))

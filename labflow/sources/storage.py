@@ -4,18 +4,18 @@
 class Folder:
     """A path and its file system; works for any scheme the cluster can reach."""
 
-    def __init__(self, spark, path):
+    def __init__(self, spark, path, fs=None):
         self.spark = spark
-        jvm = spark._jvm
-        raw = jvm.org.apache.hadoop.fs.Path(path)
-        self.fs = raw.getFileSystem(spark._jsc.hadoopConfiguration())
-        self.path = self.fs.makeQualified(raw)
+        self.path = spark._jvm.org.apache.hadoop.fs.Path(path) if isinstance(path, str) else path
+        self.fs = fs or self.path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs is None:
+            self.path = self.fs.makeQualified(self.path)
 
     def __str__(self):
         return self.path.toString()
 
     def child(self, name):
-        return Folder(self.spark, f"{self}/{name}")
+        return Folder(self.spark, self.spark._jvm.org.apache.hadoop.fs.Path(self.path, name), self.fs)
 
     def exists(self):
         return self.fs.exists(self.path)
