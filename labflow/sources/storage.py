@@ -4,18 +4,22 @@
 class Folder:
     """A path and its file system; works for any scheme the cluster can reach."""
 
-    def __init__(self, spark, path, fs=None):
+    def __init__(self, spark, path, parent=None):
         self.spark = spark
-        self.path = spark._jvm.org.apache.hadoop.fs.Path(path) if isinstance(path, str) else path
-        self.fs = fs or self.path.getFileSystem(spark._jsc.hadoopConfiguration())
-        if fs is None:
-            self.path = self.fs.makeQualified(self.path)
+        # Looking the class up costs several calls, so children share it.
+        self.to_path = parent.to_path if parent else spark._jvm.org.apache.hadoop.fs.Path
+        if parent:
+            self.fs, self.path = parent.fs, self.to_path(parent.path, path)
+        else:
+            raw = self.to_path(path)
+            self.fs = raw.getFileSystem(spark._jsc.hadoopConfiguration())
+            self.path = self.fs.makeQualified(raw)
 
     def __str__(self):
         return self.path.toString()
 
     def child(self, name):
-        return Folder(self.spark, self.spark._jvm.org.apache.hadoop.fs.Path(self.path, name), self.fs)
+        return Folder(self.spark, name, self)
 
     def exists(self):
         return self.fs.exists(self.path)
