@@ -134,6 +134,8 @@ def _scan(spark, paths, header, fields, root, multi_line):
         .option("escape", '"')
         .option("multiLine", str(multi_line).lower())
         .option("columnNameOfCorruptRecord", "malformed")
+        # Fields are counted against the whole header, whichever columns a query reads.
+        .option("columnPruning", "false")
         .csv([_literal_path(p) for p in paths])
         .withColumn("_path", _url_text(F.col("_metadata.file_path")))
     )
