@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from labflow.operators.validate import file_gate
 from labflow.schema import FIELDS, TECHNICAL
 
 ROW = ["source_file", "row_pos"]
@@ -58,12 +57,10 @@ def apply_corrections(quarantine, edits=None, removals=None, additions=None):
     return rows
 
 
-def gated_rows(validated, verdicts=None):
-    """Rows of the files in which every row is valid.
+def gated_rows(validated, verdicts):
+    """Rows of the files in which every row is valid; ``verdicts`` is the result of ``file_gate``.
 
-    The verdicts are one row per file; AQE broadcasts them when their measured size allows it and otherwise splits a
-    file that dominates the join.
+    Verdicts read from a written table are broadcast if their size allows it, and the rows are then not shuffled.
     """
-    verdicts = file_gate(validated) if verdicts is None else verdicts
     passed = verdicts.filter("passed").select("source_file")
     return validated.join(passed, "source_file", "left_semi")

@@ -18,6 +18,8 @@ from labflow.operators.delete import (
 from labflow.operators.upsert import COLUMNS
 from labflow.plans.ingest import (
     BROADCAST_BYTES,
+    FILE_LINES,
+    PARTITION_LINES,
     lines_of,
     log_line,
     new_run_id,
@@ -26,20 +28,13 @@ from labflow.plans.ingest import (
     stage_audit,
 )
 from labflow.schema import COUNTERS
-from labflow.session import new_scratch
+from labflow.session import written
 from labflow.sinks.commit import Run, recover, retire
 from labflow.sources.feeds import list_files, name_of, read_deletion_requests
 from labflow.sources.lake import read_lake
 from labflow.sources.storage import Folder
 
 
-def _written(spark, df, label):
-    """A frame as a table in the scratch folder, read back with its size known to the planner."""
-    path = new_scratch(spark, label)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def _file_lines(files, unreadable, spark):
     line = (
         F.when(
@@ -54,8 +49,8 @@ def _file_lines(files, unreadable, spark):
     )
     failed = spark.createDataFrame([(f,) for f in unreadable], "source_file string")
     text = F.concat(F.lit("❌ Error processing "), "source_file", F.lit(": unreadable file"))
-    return lines_of(files, 1, F.col("source_file"), line).unionByName(
-        lines_of(failed, 1, F.col("source_file"), text)
+    return lines_of(files, FILE_LINES, F.col("source_file"), line).unionByName(
+        lines_of(failed, FILE_LINES, F.col("source_file"), text)
     )
 
 
@@ -85,8 +80,8 @@ def delete(spark, zones, retire_inputs=True, now=None):
         return close({}, log_line(spark, 0, "📭 No deletion requests found"))
 
     feed = read_deletion_requests(spark, zones.requests, paths)
-    checked = _written(spark, checked_requests(feed.rows), "requests")
-    files = _written(spark, request_files(checked), "request-files")
+    checked = written(spark, checked_requests(feed.rows), "requests")
+    files = written(spark, request_files(checked), "request-files")
     counters = {"files_processed": len(feed.files)}
     lines = log_line(spark, 0, f"📦 Found {len(feed.files)} deletion request file(s)").unionByName(
         _file_lines(files, feed.unreadable, spark)
@@ -99,18 +94,18 @@ def delete(spark, zones, retire_inputs=True, now=None):
 
     requests = accepted_requests(checked, files)
     asked_ids = requests.agg(F.count_distinct("sample_id")).first()[0]
-    keys = _written(spark, request_keys(requests), "keys")
+    keys = written(spark, request_keys(requests), "keys")
     size = keys.agg(F.coalesce(F.sum(F.octet_length("sample_id") + 16), F.lit(0))).first()[0]
     partitions = [tuple(r) for r in keys.select(*KEY).distinct().collect()]
     keys = F.broadcast(keys) if size <= BROADCAST_BYTES else keys
 
     lake = read_lake(spark, zones.lake, partitions=partitions)
-    counts = _written(spark, delete_counts(lake, keys), "delete-counts")
+    counts = written(spark, delete_counts(lake, keys), "delete-counts")
     hits = counts.filter("rows_deleted > 0").collect()  # one row per calendar week, see MAX_PARTITIONS
     changed = [(r.year, r.week) for r in hits]
     emptied = [(r.year, r.week) for r in hits if r.rows_remaining == 0]
     affected = read_lake(spark, zones.lake, partitions=changed)
-    ids = _written(spark, affected.select(*ROW_KEY).join(keys, ROW_KEY, "left_semi").distinct(), "deleted-ids")
+    ids = written(spark, affected.select(*ROW_KEY).join(keys, ROW_KEY, "left_semi").distinct(), "deleted-ids")
     if changed:
         rows = delete_partitioned(affected, keys).select(*COLUMNS, *KEY)
         # Broadcast keys leave the files of a partition where they are; a shuffled join has to gather them again.
@@ -123,7 +118,7 @@ def delete(spark, zones, retire_inputs=True, now=None):
     lines = (
         lines.unionByName(log_line(spark, 2, f"🔍 Total unique deletion requests: {asked_ids}"))
         .unionByName(log_line(spark, 3, f"📊 Checking {len(partitions)} partition(s)"))
-        .unionByName(lines_of(described, 4, partition_key_text(), F.col("line")))
+        .unionByName(lines_of(described, PARTITION_LINES, partition_key_text(), F.col("line")))
         .unionByName(
             log_line(
                 spark, 5, f"✅ Deletion Complete: {deleted} rows deleted across {len(hits)} partition(s)"

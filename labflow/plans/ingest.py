@@ -10,17 +10,21 @@ from labflow.operators.audit import file_line, partition_line, run_rows
 from labflow.operators.upsert import COLUMNS, ORDER, keep_last, kept_history, upsert_counts, upsert_partitioned
 from labflow.operators.validate import invalid_rows, validate
 from labflow.schema import COUNTERS
-from labflow.session import new_scratch
+from labflow.session import new_scratch, written
 from labflow.sinks.commit import Run, consumed, read_ledger, recover, retire, staged_rows
 from labflow.sinks.files import write_quarantine
 from labflow.sources.feeds import feed_paths, list_files, name_of, read_landing
-from labflow.sources.lake import ordered_history, partition_rows, read_lake
-from labflow.sources.storage import Folder, has_files
+from labflow.sources.lake import ordered_history, partition_folders, partition_rows, read_lake
+from labflow.sources.storage import Folder
 
 # Keys of a batch are broadcast up to this measured size; beyond it the merge is a sort-merge join.
 BROADCAST_BYTES = 64 << 20
 # A merge rewrites its partitions into full-size files once they hold more small ones than this on average.
 COMPACT_ABOVE = 16
+# A run row repeats at most this many detail lines; the table of lines has them all.
+INLINE_LINES = 10_000
+# Sections of a run's lines that grow with its files and partitions.
+FILE_LINES, PARTITION_LINES = 1, 4
 # Present in a lake whose partitions hold every sample once. Such a history is merged without being shuffled.
 UNIQUE = "_unique"
 
@@ -54,12 +58,19 @@ def partition_key_text():
 
 
 def stage_audit(run, kind, now, counters, lines):
-    """The run row: counters known to the driver, lines gathered by an aggregation."""
-    names = COUNTERS[kind]
+    """The run row and the table of its lines.
+
+    The lines are written as rows, however many files and partitions the run had. The run row repeats them as an array
+    up to ``INLINE_LINES``; above that it keeps the lines about the run as a whole.
+    """
+    spark, names = run.spark, COUNTERS[kind]
+    lines.write.mode("overwrite").parquet(run.staged("logs", f"{kind}_lines"))
+    lines = spark.read.schema(lines.schema).parquet(run.staged("logs", f"{kind}_lines"))
+    if lines.count() > INLINE_LINES:
+        lines = lines.filter(~F.col("line_order.section").isin(FILE_LINES, PARTITION_LINES))
     row = (now.replace(tzinfo=None), *[int(counters.get(c, 0)) for c in names], run.run_id)
     schema = ", ".join(["execution_timestamp timestamp", *[f"{c} bigint" for c in names], "run_id string"])
-    counted = run.spark.createDataFrame([row], schema)
-    rows = run_rows(lines.withColumn("run_id", F.lit(run.run_id)), counted, ["run_id"])
+    rows = run_rows(lines.withColumn("run_id", F.lit(run.run_id)), spark.createDataFrame([row], schema), ["run_id"])
     run.stage_run(rows.select("execution_timestamp", *names, "details").coalesce(1), kind)
 
 
@@ -84,20 +95,20 @@ def _merge(run, valid, new_partition):
     """
     spark, zones = run.spark, run.zones
     marker = Folder(spark, f"{zones.lake}/{UNIQUE}")
-    lake_is_new = not has_files(spark, zones.lake)
+    held = set(partition_folders(spark, zones.lake))
+    lake_is_new = not held
     unique = new_partition == "dedup" and (lake_is_new or marker.exists())
     batch = with_partition(valid)
 
     if unique:
-        path = new_scratch(spark, "batch")
-        keep_last(batch, [*KEY, "sample_id"], ORDER).select(*COLUMNS, *KEY).write.mode("overwrite").parquet(path)
-        last = spark.read.schema(batch.select(*COLUMNS, *KEY).schema).parquet(path)
+        last = written(spark, keep_last(batch, [*KEY, "sample_id"], ORDER).select(*COLUMNS, *KEY), "batch")
         ids = last.groupBy(*KEY).agg(
             F.count(F.lit(1)).alias("ids"), F.sum(F.octet_length("sample_id") + 16).alias("key_bytes")
         )
         touched = ids.collect()  # one row per calendar week, see MAX_PARTITIONS
-        history = read_lake(spark, zones.lake, partitions=[(r.year, r.week) for r in touched])
-        files = F.lit(0) if lake_is_new else F.count_distinct("_metadata.file_name")
+        present = held.intersection((r.year, r.week) for r in touched)
+        history = read_lake(spark, zones.lake, partitions=present)
+        files = F.count_distinct("_metadata.file_name") if present else F.lit(0)
         before = history.groupBy(*KEY).agg(F.count(F.lit(1)).alias("rows_before"), files.alias("files"))
         known = {(r.year, r.week): r for r in before.collect()}
         keys = last.select(*KEY, "sample_id")
@@ -120,9 +131,9 @@ def _merge(run, valid, new_partition):
         if lake_is_new:
             marker.mark()
     else:
-        touched = [tuple(r) for r in batch.select(*KEY).distinct().collect()]
-        history = read_lake(spark, zones.lake, partitions=touched)
-        ordered = history if lake_is_new else ordered_history(history)
+        present = held.intersection(tuple(r) for r in batch.select(*KEY).distinct().collect())
+        history = read_lake(spark, zones.lake, partitions=present)
+        ordered = ordered_history(history) if present else history
         merged = upsert_partitioned(ordered, valid, new_partition=new_partition, keep=ORDER)
         counts = [tuple(r) for r in upsert_counts(history, valid, new_partition).collect()]
         if new_partition == "append":
@@ -160,9 +171,7 @@ def ingest(spark, zones, new_partition="dedup", retire_inputs=True, paths=None,
         F.count_if(~F.col("ok")).alias("error_rows"),
         F.bool_or("ragged").alias("ragged"),
     )
-    counted_path = new_scratch(spark, "files")
-    per_file.write.mode("overwrite").parquet(counted_path)
-    per_file = spark.read.schema(per_file.schema).parquet(counted_path)
+    per_file = written(spark, per_file, "files")
 
     # A file with a row longer than its header is unreadable as a whole; usually there is none.
     ragged = [r.source_file for r in per_file.filter("ragged").select("source_file").toLocalIterator()]
@@ -181,9 +190,9 @@ def ingest(spark, zones, new_partition="dedup", retire_inputs=True, paths=None,
     failed = spark.createDataFrame([(f,) for f in unreadable], "source_file string")
     lines = (
         log_line(spark, 0, f"📦 Found {len(feed.files)} file(s) in landing zone")
-        .unionByName(lines_of(files, 1, F.col("source_file"), file_line()))
+        .unionByName(lines_of(files, FILE_LINES, F.col("source_file"), file_line()))
         .unionByName(
-            lines_of(failed, 1, F.col("source_file"), F.concat(F.lit("❌ Failed to read CSV "), "source_file"))
+            lines_of(failed, FILE_LINES, F.col("source_file"), F.concat(F.lit("❌ Failed to read CSV "), "source_file"))
         )
     )
     if totals.bad:
@@ -205,7 +214,7 @@ def ingest(spark, zones, new_partition="dedup", retire_inputs=True, paths=None,
         counters.update(rows_inserted=summed.ins, rows_updated=summed.upd)
         lines = lines.unionByName(
             log_line(spark, 3, f"📊 Processing {totals.valid} valid record(s) across {summed.n} partition(s)")
-        ).unionByName(lines_of(counts, 4, partition_key_text(), partition_line(partition_path())))
+        ).unionByName(lines_of(counts, PARTITION_LINES, partition_key_text(), partition_line(partition_path())))
     else:
         lines = lines.unionByName(log_line(spark, 3, "ℹ️ No valid data to process"))
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from labflow.operators.quarantine import gated_rows
 from labflow.operators.validate import file_gate, validate
 from labflow.schema import FIELDS
+from labflow.session import written
 from labflow.sinks.commit import retire
 from labflow.sinks.files import write_feed
 from labflow.sources.feeds import SOURCE_PARTITION, feed_paths, name_of, read_quarantine
@@ -22,7 +23,7 @@ def promote(spark, zones, rows, extra_columns=(), gate=True):
     With the gate only files in which every row is valid pass. The technical columns do not go back.
     """
     validated = validate(rows)
-    verdicts = file_gate(validated)
+    verdicts = written(spark, file_gate(validated), "verdicts")
     if gate:
         validated = gated_rows(validated, verdicts)
         verdicts = verdicts.filter("passed")

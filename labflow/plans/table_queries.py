@@ -22,7 +22,7 @@ from labflow.plans.ingest import ingest
 from labflow.plans.orders_feed import deletion_requests, lax_feed, orders_feed
 from labflow.plans.reingest import promote
 from labflow.schema import FIELDS
-from labflow.session import new_scratch
+from labflow.session import new_scratch, written
 from labflow.sinks.commit import Zones
 from labflow.sinks.files import write_feed, write_log_history, write_quarantine, write_requests
 from labflow.sources import feeds, lake
@@ -108,7 +108,8 @@ def file_gate(spark, sf):
 
 
 def gated_rows(spark, sf):
-    rows = quarantine.gated_rows(validate.validate(_by_customer(_feed(spark, sf))))
+    checked = validate.validate(_by_customer(_feed(spark, sf)))
+    rows = quarantine.gated_rows(checked, written(spark, validate.file_gate(checked), "verdicts"))
     return rows.select(*FIELDS, "source_file", "row_pos")
 
 
@@ -195,8 +196,8 @@ def request_files(spark, sf):
 
 
 def accepted_requests(spark, sf):
-    checked = delete.checked_requests(_request_feed(spark, sf))
-    return delete.accepted_requests(checked, delete.request_files(checked))
+    checked = written(spark, delete.checked_requests(_request_feed(spark, sf)), "requests")
+    return delete.accepted_requests(checked, written(spark, delete.request_files(checked), "request-files"))
 
 
 def distinct_requests(spark, sf):

@@ -47,3 +47,13 @@ def scratch_root(spark):
 def new_scratch(spark, label):
     """A path under the scratch folder that no other run uses."""
     return f"{scratch_root(spark)}/labflow/{label}-{uuid.uuid4().hex}"
+
+
+def written(spark, df, label):
+    """A frame as a table in the scratch folder.
+
+    Later steps neither recompute it nor depend on executors that held it, and the planner knows its size.
+    """
+    path = new_scratch(spark, label)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -82,7 +82,7 @@ class Run:
             for year, week in emptied.toLocalIterator():
                 self._place("lake", f"year={year}/week={week}").delete()
         self._place("quarantine", f"quarantine_{self.run_id}.csv").replace_with(self._folder("quarantine", "rows"))
-        for kind in ("execution", "deletion", "deleted_ids"):
+        for kind in ("execution", "execution_lines", "deletion", "deletion_lines", "deleted_ids"):
             self._place("logs", f"{kind}/run_id={self.run_id}").replace_with(self._folder("logs", kind))
         self._place("ledger", f"run_id={self.run_id}").replace_with(self._folder("ledger", "files"))
         self.discard()

@@ -2,23 +2,32 @@
 
 from pyspark.sql import functions as F
 
-from labflow.functions.partition import KEY, in_partitions, with_prefixes
+from labflow.functions.partition import KEY, with_prefixes
 from labflow.schema import LAKE
-from labflow.sources.storage import has_files
+from labflow.sources.storage import Folder, has_files, subfolders
+
+
+def partition_folders(spark, root):
+    """Folders of the partitions the lake has, by ``(year, week)``; files are not listed."""
+    found = subfolders(Folder(spark, root), len(KEY))
+    return {tuple(int(n.split("=")[1]) for n in names): str(folder) for names, folder in found}
 
 
 def read_lake(spark, root, columns=None, partitions=None, prefixes=None):
     """Lake rows with ``year`` and ``week``.
 
-    ``partitions`` (a list of pairs) and ``prefixes`` (starts of partition paths) become partition filters, and
-    ``columns`` the read schema.
+    ``partitions`` (a list of pairs) restricts the scan to those folders, so that a large lake is not even listed;
+    ``prefixes`` (starts of partition paths) become partition filters, and ``columns`` the read schema.
     """
-    if not has_files(spark, root):
-        rows = spark.createDataFrame([], LAKE)
-    else:
-        rows = spark.read.schema(LAKE).parquet(root)
+    reader = spark.read.schema(LAKE)
     if partitions is not None:
-        rows = in_partitions(rows, partitions)
+        folders = partition_folders(spark, root)
+        wanted = [folders[p] for p in sorted(set(partitions)) if p in folders]
+        rows = reader.option("basePath", root).parquet(*wanted) if wanted else None
+    else:
+        rows = reader.parquet(root) if has_files(spark, root) else None
+    if rows is None:
+        rows = spark.createDataFrame([], LAKE)
     if prefixes is not None:
         rows = with_prefixes(rows, prefixes)
     return rows if columns is None else rows.select(*columns, *KEY)

@@ -136,6 +136,23 @@ def test_a_file_with_a_long_row_is_left_alone(spark, zones, put):
     assert "❌ Failed to read CSV bad.csv" in lines(spark, zones)
 
 
+@pytest.mark.parametrize("mode", ["dedup", "append"])
+def test_a_batch_of_new_weeks_only(spark, zones, put, mode):
+    put("landing", "a.csv", HEAD + "a,2025-12-01,POS,1\n")
+    ingest(spark, zones, new_partition=mode)
+    put("landing", "b.csv", HEAD + "a,2025-12-15,POS,2\n")
+    assert ingest(spark, zones, new_partition=mode) == counters(1, 0, 1, 0)
+    assert [v for *_, v in lake(spark, zones)] == [1, 2]
+
+
+def test_many_lines_stay_in_their_table(spark, zones, put, monkeypatch):
+    monkeypatch.setattr("labflow.plans.ingest.INLINE_LINES", 3)
+    put("landing", "a.csv", DAY1)
+    ingest(spark, zones)
+    assert [line[:2] for line in lines(spark, zones)] == ["📦 ", "⚠️", "📊 "]
+    assert spark.read.parquet(f"{zones.logs}/execution_lines").count() == 5
+
+
 def test_only_bad_rows(spark, zones, put):
     put("landing", "a.csv", "sample_id,test_date,result,viral_load,site\na,,POS,1,lab 7\n")
     assert ingest(spark, zones) == counters(1, 1, 0, 0)
