@@ -32,7 +32,7 @@ def _epoch(c):
 
 def _micros(number):
     unit = F.when(F.abs(number) <= SECONDS_LIMIT, F.lit(1_000_000)).otherwise(F.lit(1_000))
-    return F.round(number * unit).cast("bigint")
+    return F.round(number * unit).try_cast("bigint")
 
 
 def _written_day(c):

@@ -22,7 +22,7 @@ def promote(spark, zones, rows, extra_columns=(), gate=True):
 
     With the gate only files in which every row is valid pass. The technical columns do not go back.
     """
-    validated = validate(rows)
+    validated = written(spark, validate(rows).drop("errors"), "corrected")
     verdicts = written(spark, file_gate(validated), "verdicts")
     if gate:
         validated = gated_rows(validated, verdicts)

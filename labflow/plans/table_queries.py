@@ -182,7 +182,8 @@ def _request_feed(spark, sf):
 
 
 def _keys(spark, sf):
-    return delete.request_keys(deletion_requests(_table(spark, sf, "customer"), _valid(spark, sf)))
+    keys = delete.request_keys(deletion_requests(_table(spark, sf, "customer"), _valid(spark, sf)))
+    return written(spark, keys, "keys")
 
 
 def _odd_lake(spark, sf):
@@ -230,8 +231,9 @@ def delete_totals(spark, sf):
 
 
 def delete_lines(spark, sf):
-    stored, keys = _odd_lake(spark, sf), _keys(spark, sf)
-    return delete.delete_lines(delete.deleted_ids(stored, keys), delete.delete_counts(stored, keys))
+    stored, keys = written(spark, _odd_lake(spark, sf), "lake"), _keys(spark, sf)
+    counts = written(spark, delete.delete_counts(stored, keys), "delete-counts")
+    return delete.delete_lines(delete.deleted_ids(stored, keys), counts)
 
 
 # -- report and quarantine ----------------------------------------------------------------------------------------
@@ -463,11 +465,21 @@ def export_job(spark, sf):
 
 
 def reingest_job(spark, sf):
-    """Files go back to the landing zone as far as every row of them is valid after correcting the typos."""
+    """Codes and loads are corrected, dates are not: files go back to the landing zone as far as every row is valid."""
     zones = Zones.below(new_scratch(spark, "zones"))
-    rows = _by_customer(_feed(spark, sf)).withColumn("extra", F.lit(None).cast("map<string,string>"))
-    fixed = rows.withColumn("result", F.when(F.col("result") == "Positive", "POS").otherwise(F.col("result")))
-    promote(spark, zones, fixed)
+    held = _feed(spark, sf).withColumns(
+        {
+            "extra": F.lit(None).cast("map<string,string>"),
+            "source_file": F.concat(F.lit("Lab_"), F.col("row_pos") % 82, F.lit(".csv")),
+        }
+    )
+    edits = held.filter("result = 'Positive' or viral_load is null or viral_load = 'x'").select(
+        "source_file",
+        "row_pos",
+        F.when(F.col("result") == "Positive", "POS").alias("result"),
+        F.when(F.coalesce("viral_load", F.lit("x")) == "x", "0").alias("viral_load"),
+    )
+    promote(spark, zones, quarantine.apply_corrections(held, edits))
     return feeds.read_landing(spark, zones.landing).rows.select(*FIELDS, "source_file")
 
 

@@ -440,11 +440,10 @@ FROM lake l JOIN keys k ON k.year = l.year AND k.week = l.week AND k.sample_id =
     ),
     "export_job": REPORT,
     "reingest_job": _with(
-        BY_CUSTOMER
-        + """,
-clean AS (
-  SELECT source_file FROM files GROUP BY source_file HAVING bool_and(valid_date IS NOT NULL AND valid_load IS NOT NULL))""",
-        "SELECT sample_id, test_date, CASE WHEN result = 'Positive' THEN 'POS' ELSE result END AS result, viral_load, "
-        "source_file FROM files WHERE source_file IN (SELECT source_file FROM clean)",
+        CHECKED,
+        """SELECT sample_id, test_date, CASE WHEN result = 'Positive' THEN 'POS' ELSE result END AS result,
+       CASE WHEN coalesce(viral_load, 'x') = 'x' THEN '0' ELSE viral_load END AS viral_load,
+       'Lab_' || (row_pos % 82) || '.csv' AS source_file
+FROM checked WHERE row_pos % 82 NOT IN (SELECT row_pos % 82 FROM checked WHERE valid_date IS NULL)""",
     ),
 }

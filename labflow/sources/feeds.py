@@ -36,8 +36,8 @@ class Feed:
 
 
 def _url_text(c):
-    """Undo percent escapes; a plus sign is a plus sign in a path."""
-    return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+    """Undo percent escapes where there are any; a plus sign is a plus sign in a path."""
+    return F.when(c.contains("%"), F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))).otherwise(c)
 
 
 def logical_name(path, root):

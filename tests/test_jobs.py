@@ -272,3 +272,15 @@ def test_a_hot_partition_is_written_by_many_tasks(spark, zones, monkeypatch):
             spark.conf.set(k, v)
     assert len(_parts(f"{zones.lake}/year=2025/week=49")) >= 3
     assert read_lake(spark, zones.lake).count() == 60_000
+
+
+def test_history_is_filtered_without_a_shuffle(spark, zones, put):
+    from labflow.operators.upsert import kept_history
+
+    put("landing", "a.csv", HEAD + "a,2025-12-01,POS,1\nb,2025-12-15,POS,2\n")
+    ingest(spark, zones)
+    keys = spark.createDataFrame([(2025, 49, "a")], "year int, week int, sample_id string")
+    kept = kept_history(read_lake(spark, zones.lake, partitions=[(2025, 49), (2025, 51)]), F.broadcast(keys))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert rows(kept, "sample_id") == [("b",)]
