@@ -48,35 +48,31 @@ READ = T.StructType(
 def with_originals(pages, smallest=0):
     """Add ``sha1`` (hex), ``original`` (page_id of the first record with an equal payload) and ``is_original``.
 
-    Payload: the html in UTF-8, empty for null. Among equal payloads of at least ``smallest`` bytes the row with the
-    smallest page_id (null last, ties in the order of the files) is the original; smaller payloads are all originals.
-    Only payloads that occur twice are joined back, by their digest and size. Spark splits a digest that many rows have
-    when it joins, and the aggregation sends one row per digest and task.
+    Payload: the html in UTF-8, empty for null. Among equal payloads of at least ``smallest`` bytes those with the
+    smallest page_id (null counts as larger than any) are originals: one row, unless rows repeat id and payload. Smaller
+    payloads are all originals. Only payloads that occur twice are joined back, by their digest and size. Spark splits a
+    digest that many rows have when it joins, and the aggregation sends one row per digest and task.
     """
     own = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select("page_id", "url", "html").select(
-        "*",
-        F.sha1(own).alias("sha1"),
-        F.octet_length(own).cast("bigint").alias("payload_bytes"),
-        F.monotonically_increasing_id().alias("_row"),
+        "*", F.sha1(own).alias("sha1"), F.octet_length(own).cast("bigint").alias("payload_bytes")
     )
-    first = F.min(F.struct(F.col("page_id").isNull(), "page_id", "_row")).alias("_first")
     repeated = (
         rows.where(F.col("payload_bytes") >= smallest)
         .groupBy("sha1", "payload_bytes")
-        .agg(first, F.count(F.lit(1)).alias("_n"))
+        .agg(F.min("page_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
         .where("_n > 1")
-        .select("sha1", "payload_bytes", F.col("_first.page_id").alias("_page"), F.col("_first._row").alias("_own"))
+        .drop("_n")
     )
     joined = rows.join(repeated, ["sha1", "payload_bytes"], "left")
-    return joined.select(
+    return joined.withColumn("original", F.coalesce("_first", "page_id")).select(
         "page_id",
         "url",
         "html",
         "sha1",
         "payload_bytes",
-        F.coalesce(F.col("_own") == F.col("_row"), F.lit(True)).alias("is_original"),
-        F.when(F.col("_own").isNotNull(), F.col("_page")).otherwise(F.col("page_id")).alias("original"),
+        F.col("original").eqNullSafe(F.col("page_id")).alias("is_original"),
+        "original",
     )
 
 
