@@ -1,9 +1,12 @@
 """Every query of this folder by name, and the SQL of those that SQL can express."""
 
-from labflow.llm import queries_sharding, queries_tokens, queries_warc
+from labflow.llm import queries_secrets, queries_sharding, queries_tokens, queries_vectors, queries_warc
 
 QUERIES = {
+    "op2_markov_secrets": queries_secrets.op2_markov_secrets,
     "op3_bpe_round_trip": queries_tokens.op3_bpe_round_trip,
+    "op4_one_bit_neighbours": queries_vectors.op4_one_bit_neighbours,
+    "op6_cap_filter_duplicates": queries_vectors.op6_cap_filter_duplicates,
     "op7_binary_pieces": queries_tokens.op7_binary_pieces,
     "op8_byte_shards": queries_sharding.op8_byte_shards,
     "op9_token_counts": queries_tokens.op9_token_counts,
@@ -11,6 +14,8 @@ QUERIES = {
 }
 
 SQL = {
+    "op4_one_bit_neighbours": queries_vectors.OP4_SQL,
+    "op6_cap_filter_duplicates": queries_vectors.OP6_SQL,
     "op8_byte_shards": queries_sharding.OP8_SQL,
     "op10_dictionary_archives": queries_warc.OP10_SQL,
 }
