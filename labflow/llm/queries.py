@@ -1,11 +1,21 @@
 """Every query of this folder by name, and the SQL of those that SQL can express."""
 
-from labflow.llm import queries_secrets, queries_sharding, queries_tokens, queries_vectors, queries_warc
+from labflow.llm import (
+    queries_documents,
+    queries_secrets,
+    queries_sharding,
+    queries_tokens,
+    queries_toxicity,
+    queries_vectors,
+    queries_warc,
+)
 
 QUERIES = {
+    "op1_gated_network_toxicity": queries_toxicity.op1_gated_network_toxicity,
     "op2_markov_secrets": queries_secrets.op2_markov_secrets,
     "op3_bpe_round_trip": queries_tokens.op3_bpe_round_trip,
     "op4_one_bit_neighbours": queries_vectors.op4_one_bit_neighbours,
+    "op5_bag_minhash_duplicates": queries_documents.op5_bag_minhash_duplicates,
     "op6_cap_filter_duplicates": queries_vectors.op6_cap_filter_duplicates,
     "op7_binary_pieces": queries_tokens.op7_binary_pieces,
     "op8_byte_shards": queries_sharding.op8_byte_shards,
