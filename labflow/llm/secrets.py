@@ -140,13 +140,13 @@ def _spans(text, pattern, matches, kind, keep=None):
     return F.when(F.size(matches) > 0, found).otherwise(empty)
 
 
-def scan(docs, table, text="text", least=LEAST, threshold=THRESHOLD):
-    """Add ``spans``: array<struct<start, rank, kind, end, value>>, by start and then kind, of all secrets of a text.
+def scan(docs, table, text="text", out="spans", least=LEAST, threshold=THRESHOLD):
+    """Add ``out``: array<struct<start, rank, kind, end, value>>, by start and then kind, of all secrets of a text.
 
     Places are in code points from 0, ends exclusive. Kinds assign, access and hex are the matches of their patterns,
     leftmost and non-overlapping per kind. Kind random: strings of ``least`` or more characters that touch none of
     them and whose mean log-likelihood ratio by ``table`` is at least ``threshold``. A null text counts as empty and has
-    no spans. A column called ``spans`` in the input gives way.
+    no spans. A column of that name in the input gives way.
     """
     own = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     none = F.expr("cast(array() as array<string>)")
@@ -183,7 +183,7 @@ def scan(docs, table, text="text", least=LEAST, threshold=THRESHOLD):
     random = _spans(
         own, candidate, F.col("_random"), "random", lambda x: free(x) & (ratio(x.value, table) >= threshold)
     )
-    found = with_columns(with_base, {"spans": F.array_sort(F.concat(F.col("_base"), random))})
+    found = with_columns(with_base, {out: F.array_sort(F.concat(F.col("_base"), random))})
     return found.drop("_assign", "_access", "_hex", "_random", "_base")
 
 
