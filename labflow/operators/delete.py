@@ -8,16 +8,18 @@ join, which AQE splits on skewed keys.
 from pyspark.sql import functions as F
 
 from labflow.functions.parsing import strict_date
-from labflow.functions.partition import KEY, partition_path, touched_partitions, with_partition
+from labflow.functions.lines import partition_deleted, sample_deleted
+from labflow.functions.partition import KEY, touched_partitions, with_partition
 
 REQUEST_FIELDS = ["sample_id", "test_date"]
 ROW_KEY = [*KEY, "sample_id"]
-# Ids of one partition are spelled out in a log line up to this number; ``deleted_ids`` always holds every id.
-INLINE_IDS = 1_000
 
 
 def checked_requests(feed):
-    """Request rows with the parsed date and the reason a row spoils its file."""
+    """Request rows with the parsed date and the reason a row spoils its file.
+
+    A row with more fields than its header spoils it too: nothing is deleted on the strength of a malformed file.
+    """
     if "missing" in feed.columns:
         lacks_column = F.coalesce(F.size("missing") > 0, F.lit(False))
     else:
@@ -25,10 +27,14 @@ def checked_requests(feed):
     for field in REQUEST_FIELDS:
         if field not in feed.columns:
             feed = feed.withColumn(field, F.lit(None).cast("string"))
+    ragged = F.coalesce(F.col("ragged"), F.lit(False)) if "ragged" in feed.columns else F.lit(False)
     parsed = feed.withColumn("request_date", strict_date(F.col("test_date")))
     bad_date = F.col("test_date").isNotNull() & F.col("request_date").isNull()
     return parsed.withColumn(
-        "reason", F.when(lacks_column, "Missing required columns").when(bad_date, "Invalid test_date")
+        "reason",
+        F.when(lacks_column, "Missing required columns")
+        .when(ragged, "Row longer than its header")
+        .when(bad_date, "Invalid test_date"),
     )
 
 
@@ -119,38 +125,7 @@ def delete_totals(counts):
     )
 
 
-def inline_ids(ids, counts, limit=INLINE_IDS):
-    """Sorted ids of a partition as text, for partitions that lose at most ``limit`` rows.
-
-    Partitions above the limit are filtered out before anything is collected, so no group grows without bound; their
-    ids stay in ``deleted_ids``.
-    """
-    small = counts.filter(F.col("rows_deleted").between(1, limit)).select(*KEY)
-    return (
-        ids.join(F.broadcast(small), KEY, "left_semi")
-        .groupBy(*KEY)
-        .agg(F.array_join(F.array_sort(F.collect_set("sample_id")), ", ").alias("ids"))
-    )
-
-
-def delete_lines(ids, counts, limit=INLINE_IDS):
-    """One log line per requested partition."""
-    where = F.concat(F.lit("📁 "), partition_path(), F.lit(": "))
-    spelled = F.coalesce("ids", F.lit("see the deleted ids table"))
-    line = (
-        F.when(F.col("status") == "not_found", F.concat(where, F.lit("⚠️ Partition file not found")))
-        .when(F.col("status") == "no_match", F.concat(where, F.lit("ℹ️ No matching records found")))
-        .otherwise(
-            F.concat(
-                where,
-                F.lit("🗑️ Deleted "),
-                F.col("rows_deleted"),
-                F.lit(" record(s) | 🆔 IDs: "),
-                spelled,
-                F.lit(" | 📊 "),
-                F.col("rows_remaining"),
-                F.lit(" rows remaining"),
-            )
-        )
-    )
-    return counts.join(inline_ids(ids, counts, limit), KEY, "left").select(*KEY, line.alias("line"))
+def delete_lines(ids, counts):
+    """Log lines of a deletion: one per requested partition and one per removed sample, however many there are."""
+    described = counts.select(*KEY, partition_deleted().alias("line"))
+    return described.unionByName(ids.select(*KEY, sample_deleted().alias("line")))

@@ -4,6 +4,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
+from labflow.functions.lines import file_unreadable, request_file_read
 from labflow.functions.partition import KEY
 from labflow.operators.delete import (
     ROW_KEY,
@@ -17,9 +18,9 @@ from labflow.operators.delete import (
 )
 from labflow.operators.upsert import COLUMNS
 from labflow.plans.ingest import (
-    BROADCAST_BYTES,
     FILE_LINES,
     PARTITION_LINES,
+    UNIQUE,
     lines_of,
     log_line,
     new_run_id,
@@ -28,39 +29,34 @@ from labflow.plans.ingest import (
     stage_audit,
 )
 from labflow.schema import COUNTERS
-from labflow.session import written
-from labflow.sinks.commit import Run, recover, retire
+from labflow.session import run_scratch, written
+from labflow.sinks.commit import Run, recover
 from labflow.sources.feeds import list_files, name_of, read_deletion_requests
-from labflow.sources.lake import read_lake
+from labflow.sources.lake import in_old_order, ordered_history, read_lake
 from labflow.sources.storage import Folder
 
 
 def _file_lines(files, unreadable, spark):
-    line = (
-        F.when(
-            F.col("accepted"),
-            F.concat(F.lit("✅ Processed "), "source_file", F.lit(": "), "requests", F.lit(" deletion request(s)")),
-        )
-        .when(
-            F.col("reason") == "Missing required columns",
-            F.concat(F.lit("⚠️ Skipped "), "source_file", F.lit(": Missing required columns")),
-        )
-        .otherwise(F.concat(F.lit("❌ Error processing "), "source_file", F.lit(": "), "reason"))
-    )
     failed = spark.createDataFrame([(f,) for f in unreadable], "source_file string")
-    text = F.concat(F.lit("❌ Error processing "), "source_file", F.lit(": unreadable file"))
-    return lines_of(files, FILE_LINES, F.col("source_file"), line).unionByName(
-        lines_of(failed, FILE_LINES, F.col("source_file"), text)
+    return lines_of(files, FILE_LINES, F.col("source_file"), request_file_read()).unionByName(
+        lines_of(failed, FILE_LINES, F.col("source_file"), file_unreadable())
     )
 
 
 def delete(spark, zones, retire_inputs=True, now=None):
     """Apply the pending deletion requests; returns the counters of the run.
 
-    The lake is read twice: once for ids only, to learn which partitions lose rows, and once to rewrite just those.
+    Files that are unreadable, lack a column, hold a row longer than their header or a malformed date are refused as a
+    whole and stay where they are. The lake is read twice: once for ids only, to learn which partitions lose rows, and
+    once to rewrite just those. A lake that may hold duplicates is rewritten in its old order, as that says which one
+    is last.
     """
     recover(spark, zones)
-    now = now or datetime.now(timezone.utc)
+    with run_scratch(spark):
+        return _delete(spark, zones, retire_inputs, now or datetime.now(timezone.utc))
+
+
+def _delete(spark, zones, retire_inputs, now):
     run = Run(spark, zones, new_run_id(now))
     paths = pending_paths(spark, zones, "requests")
 
@@ -70,34 +66,30 @@ def delete(spark, zones, retire_inputs=True, now=None):
             taken = spark.createDataFrame([(p,) for p in read], "path string")
             run.stage_ledger(listing.join(taken, "path", "left_semi"))
         stage_audit(run, "deletion", now, counters, lines)
-        run.seal()
+        run.seal(retire_inputs)
         run.finish()
-        if retire_inputs:
-            retire(spark, read)
         return {c: int(counters.get(c, 0)) for c in COUNTERS["deletion"]}
 
     if not paths:
-        return close({}, log_line(spark, 0, "📭 No deletion requests found"))
+        return close({}, log_line(spark, 0, "no deletion requests"))
 
     feed = read_deletion_requests(spark, zones.requests, paths)
     checked = written(spark, checked_requests(feed.rows), "requests")
     files = written(spark, request_files(checked), "request-files")
     counters = {"files_processed": len(feed.files)}
-    lines = log_line(spark, 0, f"📦 Found {len(feed.files)} deletion request file(s)").unionByName(
+    lines = log_line(spark, 0, f"{len(feed.files)} deletion request files").unionByName(
         _file_lines(files, feed.unreadable, spark)
     )
     accepted = {r.source_file for r in files.filter("accepted").select("source_file").toLocalIterator()}
     if not accepted:
-        return close(counters, lines.unionByName(log_line(spark, 5, "❌ No valid deletion requests to process")))
+        return close(counters, lines.unionByName(log_line(spark, 5, "no accepted deletion requests")))
     root = str(Folder(spark, zones.requests))
     read = [p for p in paths if name_of(p, root) in accepted]
 
     requests = accepted_requests(checked, files)
     asked_ids = requests.agg(F.count_distinct("sample_id")).first()[0]
     keys = written(spark, request_keys(requests), "keys")
-    size = keys.agg(F.coalesce(F.sum(F.octet_length("sample_id") + 16), F.lit(0))).first()[0]
     partitions = [tuple(r) for r in keys.select(*KEY).distinct().collect()]
-    keys = F.broadcast(keys) if size <= BROADCAST_BYTES else keys
 
     lake = read_lake(spark, zones.lake, partitions=partitions)
     counts = written(spark, delete_counts(lake, keys), "delete-counts")
@@ -107,22 +99,19 @@ def delete(spark, zones, retire_inputs=True, now=None):
     affected = read_lake(spark, zones.lake, partitions=changed)
     ids = written(spark, affected.select(*ROW_KEY).join(keys, ROW_KEY, "left_semi").distinct(), "deleted-ids")
     if changed:
-        rows = delete_partitioned(affected, keys).select(*COLUMNS, *KEY)
-        # Broadcast keys leave the files of a partition where they are; a shuffled join has to gather them again.
-        run.stage_partitions(rows if size <= BROADCAST_BYTES else rows.hint("rebalance", *KEY), emptied)
+        if Folder(spark, f"{zones.lake}/{UNIQUE}").exists():
+            rows = delete_partitioned(affected, keys).select(*COLUMNS, *KEY).hint("rebalance", *KEY)
+        else:
+            rows = in_old_order(delete_partitioned(ordered_history(affected), keys), *COLUMNS)
+        run.stage_partitions(rows, emptied)
         ids.write.mode("overwrite").parquet(run.staged("logs", "deleted_ids"))
 
     deleted = sum(r.rows_deleted for r in hits)
     counters.update(rows_deleted=deleted, partitions_updated=len(hits))
-    described = delete_lines(ids, counts)
     lines = (
-        lines.unionByName(log_line(spark, 2, f"🔍 Total unique deletion requests: {asked_ids}"))
-        .unionByName(log_line(spark, 3, f"📊 Checking {len(partitions)} partition(s)"))
-        .unionByName(lines_of(described, PARTITION_LINES, partition_key_text(), F.col("line")))
-        .unionByName(
-            log_line(
-                spark, 5, f"✅ Deletion Complete: {deleted} rows deleted across {len(hits)} partition(s)"
-            )
-        )
+        lines.unionByName(log_line(spark, 2, f"{asked_ids} different samples requested"))
+        .unionByName(log_line(spark, 3, f"{len(partitions)} partitions requested"))
+        .unionByName(lines_of(delete_lines(ids, counts), PARTITION_LINES, partition_key_text(), F.col("line")))
+        .unionByName(log_line(spark, 5, f"{deleted} rows removed from {len(hits)} partitions"))
     )
     return close(counters, lines, read)

@@ -5,24 +5,19 @@ from uuid import uuid4
 
 from pyspark.sql import functions as F
 
-from labflow.functions.partition import KEY, partition_path, with_partition
-from labflow.operators.audit import file_line, partition_line, run_rows
+from labflow.functions.lines import file_checked, file_unreadable, partition_merged
+from labflow.functions.partition import KEY, with_partition
+from labflow.operators.audit import run_rows
 from labflow.operators.upsert import COLUMNS, ORDER, keep_last, kept_history, upsert_counts, upsert_partitioned
 from labflow.operators.validate import invalid_rows, validate
 from labflow.schema import COUNTERS
-from labflow.session import new_scratch, written
-from labflow.sinks.commit import Run, consumed, read_ledger, recover, retire, staged_rows
+from labflow.session import new_scratch, run_scratch, written
+from labflow.sinks.commit import Run, consumed, read_ledger, recover, staged_rows
 from labflow.sinks.files import write_quarantine
 from labflow.sources.feeds import feed_paths, list_files, name_of, read_landing
 from labflow.sources.lake import ordered_history, partition_folders, partition_rows, read_lake
 from labflow.sources.storage import Folder
 
-# Keys of a batch are broadcast up to this measured size; beyond it the merge is a sort-merge join.
-BROADCAST_BYTES = 64 << 20
-# A merge rewrites its partitions into full-size files once they hold more small ones than this on average.
-COMPACT_ABOVE = 16
-# A run row repeats at most this many detail lines; the table of lines has them all.
-INLINE_LINES = 10_000
 # Sections of a run's lines that grow with its files and partitions.
 FILE_LINES, PARTITION_LINES = 1, 4
 # Present in a lake whose partitions hold every sample once. Such a history is merged without being shuffled.
@@ -58,19 +53,17 @@ def partition_key_text():
 
 
 def stage_audit(run, kind, now, counters, lines):
-    """The run row and the table of its lines.
+    """The run row, with the lines about the run as a whole, and the table of all its lines.
 
-    The lines are written as rows, however many files and partitions the run had. The run row repeats them as an array
-    up to ``INLINE_LINES``; above that it keeps the lines about the run as a whole.
+    Lines about files, partitions and samples are rows of that table only, however many or few there are.
     """
     spark, names = run.spark, COUNTERS[kind]
     lines.write.mode("overwrite").parquet(run.staged("logs", f"{kind}_lines"))
     lines = spark.read.schema(lines.schema).parquet(run.staged("logs", f"{kind}_lines"))
-    if lines.count() > INLINE_LINES:
-        lines = lines.filter(~F.col("line_order.section").isin(FILE_LINES, PARTITION_LINES))
+    whole = lines.filter(~F.col("line_order.section").isin(FILE_LINES, PARTITION_LINES))
     row = (now.replace(tzinfo=None), *[int(counters.get(c, 0)) for c in names], run.run_id)
     schema = ", ".join(["execution_timestamp timestamp", *[f"{c} bigint" for c in names], "run_id string"])
-    rows = run_rows(lines.withColumn("run_id", F.lit(run.run_id)), spark.createDataFrame([row], schema), ["run_id"])
+    rows = run_rows(whole.withColumn("run_id", F.lit(run.run_id)), spark.createDataFrame([row], schema), ["run_id"])
     run.stage_run(rows.select("execution_timestamp", *names, "details").coalesce(1), kind)
 
 
@@ -102,32 +95,19 @@ def _merge(run, valid, new_partition):
 
     if unique:
         last = written(spark, keep_last(batch, [*KEY, "sample_id"], ORDER).select(*COLUMNS, *KEY), "batch")
-        ids = last.groupBy(*KEY).agg(
-            F.count(F.lit(1)).alias("ids"), F.sum(F.octet_length("sample_id") + 16).alias("key_bytes")
-        )
-        touched = ids.collect()  # one row per calendar week, see MAX_PARTITIONS
+        touched = last.groupBy(*KEY).agg(F.count(F.lit(1)).alias("ids")).collect()  # one row per calendar week
         present = held.intersection((r.year, r.week) for r in touched)
         history = read_lake(spark, zones.lake, partitions=present)
-        files = F.count_distinct("_metadata.file_name") if present else F.lit(0)
-        before = history.groupBy(*KEY).agg(F.count(F.lit(1)).alias("rows_before"), files.alias("files"))
-        known = {(r.year, r.week): r for r in before.collect()}
-        keys = last.select(*KEY, "sample_id")
-        broadcast = sum(r.key_bytes for r in touched) <= BROADCAST_BYTES
-        kept = kept_history(history, F.broadcast(keys) if broadcast else keys)
-        crowded = sum(r.files for r in known.values()) > COMPACT_ABOVE * len(touched)
-        if broadcast and not crowded:
-            # The history keeps its file layout; only the batch is gathered by partition.
-            rows = kept.unionByName(last.hint("rebalance", *KEY))
-        else:
-            rows = kept.unionByName(last).hint("rebalance", *KEY)
-        run.stage_partitions(rows)
+        known = {(r.year, r.week): r.row_count for r in partition_rows(history).collect()}
+        # Spark sends the keys to every task while they are under its threshold; the history is then not shuffled here.
+        kept = kept_history(history, last.select(*KEY, "sample_id"))
+        run.stage_partitions(kept.unionByName(last).hint("rebalance", *KEY))
         after = {(r.year, r.week): r.row_count for r in partition_rows(staged_rows(run)).collect()}
         counts = []
         for r in touched:
             at = (r.year, r.week)
-            old = known[at].rows_before if at in known else 0
-            inserted = after[at] - old
-            counts.append((*at, inserted, r.ids - inserted, old == 0))
+            inserted = after[at] - known.get(at, 0)
+            counts.append((*at, inserted, r.ids - inserted, at not in known))
         if lake_is_new:
             marker.mark()
     else:
@@ -137,7 +117,7 @@ def _merge(run, valid, new_partition):
         merged = upsert_partitioned(ordered, valid, new_partition=new_partition, keep=ORDER)
         counts = [tuple(r) for r in upsert_counts(history, valid, new_partition).collect()]
         if new_partition == "append":
-            # File order is what a later merge takes for row order.
+            # What a later merge takes for row order.
             rows = merged.orderBy(*KEY, *ORDER).select(*COLUMNS, *KEY)
             marker.delete()
         else:
@@ -155,11 +135,16 @@ def ingest(spark, zones, new_partition="dedup", retire_inputs=True, paths=None,
     ``retire_inputs``, deleted after everything else is in place. Unreadable files stay where they are.
     """
     recover(spark, zones)
+    with run_scratch(spark):
+        return _ingest(spark, zones, new_partition, retire_inputs, paths, now, multi_line)
+
+
+def _ingest(spark, zones, new_partition, retire_inputs, paths, now, multi_line):
     now = now or datetime.now(timezone.utc)
     run = Run(spark, zones, new_run_id(now))
     paths = pending_paths(spark, zones, "landing") if paths is None else paths
     if not paths:
-        stage_audit(run, "execution", now, {}, log_line(spark, 0, "📭 No new files to process"))
+        stage_audit(run, "execution", now, {}, log_line(spark, 0, "no new files"))
         run.seal()
         run.finish()
         return {c: 0 for c in COUNTERS["execution"]}
@@ -189,17 +174,15 @@ def ingest(spark, zones, new_partition="dedup", retire_inputs=True, paths=None,
     files = files.fillna(0, ["valid_rows", "error_rows"])
     failed = spark.createDataFrame([(f,) for f in unreadable], "source_file string")
     lines = (
-        log_line(spark, 0, f"📦 Found {len(feed.files)} file(s) in landing zone")
-        .unionByName(lines_of(files, FILE_LINES, F.col("source_file"), file_line()))
-        .unionByName(
-            lines_of(failed, FILE_LINES, F.col("source_file"), F.concat(F.lit("❌ Failed to read CSV "), "source_file"))
-        )
+        log_line(spark, 0, f"{len(feed.files)} files in the landing zone")
+        .unionByName(lines_of(files, FILE_LINES, F.col("source_file"), file_checked()))
+        .unionByName(lines_of(failed, FILE_LINES, F.col("source_file"), file_unreadable()))
     )
     if totals.bad:
         bad = invalid_rows(staged)
         write_quarantine(bad, run.staged("quarantine", "rows"), feed.extra_columns)
         lines = lines.unionByName(
-            log_line(spark, 2, f"⚠️ Quarantined {totals.bad} row(s) to quarantine_{run.run_id}.csv")
+            log_line(spark, 2, f"{totals.bad} rows to quarantine_{run.run_id}.csv")
         )
 
     counters = {"files_processed": len(feed.files), "rows_quarantined": totals.bad}
@@ -213,10 +196,10 @@ def ingest(spark, zones, new_partition="dedup", retire_inputs=True, paths=None,
         ).first()
         counters.update(rows_inserted=summed.ins, rows_updated=summed.upd)
         lines = lines.unionByName(
-            log_line(spark, 3, f"📊 Processing {totals.valid} valid record(s) across {summed.n} partition(s)")
-        ).unionByName(lines_of(counts, PARTITION_LINES, partition_key_text(), partition_line(partition_path())))
+            log_line(spark, 3, f"{totals.valid} valid records in {summed.n} partitions")
+        ).unionByName(lines_of(counts, PARTITION_LINES, partition_key_text(), partition_merged()))
     else:
-        lines = lines.unionByName(log_line(spark, 3, "ℹ️ No valid data to process"))
+        lines = lines.unionByName(log_line(spark, 3, "no valid records"))
 
     root = str(Folder(spark, zones.landing))
     kept = set(unreadable)
@@ -225,8 +208,6 @@ def ingest(spark, zones, new_partition="dedup", retire_inputs=True, paths=None,
     taken = spark.createDataFrame([(p,) for p in read], "path string")
     run.stage_ledger(listing.join(taken, "path", "left_semi"))
     stage_audit(run, "execution", now, counters, lines)
-    run.seal()
+    run.seal(retire_inputs)
     run.finish()
-    if retire_inputs:
-        retire(spark, read)
     return {c: int(counters.get(c, 0)) for c in COUNTERS["execution"]}

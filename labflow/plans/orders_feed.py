@@ -61,13 +61,36 @@ def lax_feed(orders):
     )
 
 
+def moved_in_week(day):
+    """Another day of the same calendar year and ISO week, where there is one."""
+    before, after = F.date_sub(day, 1), F.date_add(day, 1)
+    return (
+        F.when((F.weekday(day) > 0) & (F.year(before) == F.year(day)), before)
+        .when((F.weekday(day) < 6) & (F.year(after) == F.year(day)), after)
+        .otherwise(day)
+    )
+
+
 def deletion_requests(customer, records, files=FILES):
-    """Requests for every record of every tenth customer, as typed ``sample_id`` and ``test_date``."""
-    asked = customer.filter("c_custkey % 10 = 0").select(
-        F.concat(F.lit("S-"), F.col("c_custkey")).alias("sample_id"), "c_nationkey"
+    """Requests as typed ``sample_id`` and ``test_date``, for every tenth customer.
+
+    Each asks for the customer's last record, by another day of its week. Every hundredth customer's sample is also
+    asked for in a week that no record has, and every tenth customer but one in a week that has others' records.
+    """
+    number = F.col("c_custkey")
+    source = F.concat(F.lit("Requests_"), F.col("c_nationkey") % files, F.lit(".csv")).alias("source_file")
+    sample = F.concat(F.lit("S-"), number)
+    asked = customer.filter("c_custkey % 10 = 0").select(sample.alias("sample_id"), "c_nationkey")
+    last = records.groupBy("sample_id").agg(F.max("test_date").alias("test_date"))
+    real = last.join(asked, "sample_id").select("sample_id", moved_in_week(F.col("test_date")).alias("test_date"), source)
+    no_week = customer.filter("c_custkey % 100 = 0").select(
+        sample.alias("sample_id"),
+        F.date_add(F.lit("2031-01-06").cast("date"), (7 * F.col("c_nationkey")).cast("int")).alias("test_date"),
+        source,
     )
-    return records.join(asked, "sample_id").select(
-        "sample_id",
-        "test_date",
-        F.concat(F.lit("Requests_"), F.col("c_nationkey") % files, F.lit(".csv")).alias("source_file"),
+    no_sample = customer.filter("c_custkey % 10 = 1").select(
+        F.concat(F.lit("X-"), number).alias("sample_id"),
+        F.date_add(F.lit("1992-01-06").cast("date"), (7 * (number % 331)).cast("int")).alias("test_date"),
+        source,
     )
+    return real.unionByName(no_week).unionByName(no_sample)

@@ -12,6 +12,11 @@ from labflow.sources.feeds import SOURCE_PARTITION, feed_paths, name_of, read_qu
 from labflow.sources.storage import Folder
 
 
+def discard(spark, zones, names):
+    """Remove quarantine files without correcting them."""
+    retire(spark, _paths_named(spark, zones.quarantine, set(names)))
+
+
 def _paths_named(spark, zone, names):
     root = str(Folder(spark, zone))
     return [p for p in feed_paths(spark, zone) if name_of(p, root) in names]
@@ -22,7 +27,11 @@ def promote(spark, zones, rows, extra_columns=(), gate=True):
 
     With the gate only files in which every row is valid pass. The technical columns do not go back.
     """
-    validated = written(spark, validate(rows).drop("errors"), "corrected")
+    checked = validate(rows).drop("errors")
+    if "ragged" in rows.columns:
+        # A row longer than its header makes its file invalid.
+        checked = checked.withColumn("ok", F.col("ok") & ~F.coalesce("ragged", F.lit(False)))
+    validated = written(spark, checked, "corrected")
     verdicts = written(spark, file_gate(validated), "verdicts")
     if gate:
         validated = gated_rows(validated, verdicts)

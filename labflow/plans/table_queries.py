@@ -6,6 +6,7 @@ history and batch are its even and odd rows. Queries on sources, sinks and jobs
 
 from pyspark.sql import functions as F
 
+from labflow.functions.lines import file_checked
 from labflow.functions.partition import (
     KEY,
     one_partition,
@@ -24,8 +25,9 @@ from labflow.plans.reingest import promote
 from labflow.schema import FIELDS
 from labflow.session import new_scratch, written
 from labflow.sinks.commit import Zones
-from labflow.sinks.files import write_feed, write_log_history, write_quarantine, write_requests
+from labflow.sinks.files import write_feed, write_log_history, write_quarantine, write_report, write_requests
 from labflow.sources import feeds, lake
+from labflow.sources.storage import Folder
 from labflow.streaming.incremental import ingest_new_files
 
 RECORD = ["sample_id", "test_date", "result", "viral_load"]
@@ -109,7 +111,7 @@ def file_gate(spark, sf):
 
 def gated_rows(spark, sf):
     checked = validate.validate(_by_customer(_feed(spark, sf)))
-    rows = quarantine.gated_rows(checked, written(spark, validate.file_gate(checked), "verdicts"))
+    rows = quarantine.gated_rows(checked, validate.file_gate(checked))
     return rows.select(*FIELDS, "source_file", "row_pos")
 
 
@@ -143,10 +145,16 @@ def upsert_partitioned(spark, sf):
     return _lake(spark, sf)
 
 
+def _even_weeks_and_rest(spark, sf):
+    """History: even rows of even weeks; batch: all other rows, so that odd weeks are new partitions."""
+    rows = with_partition(_valid(spark, sf))
+    past = (F.col("row_pos") % 2 == 0) & (F.col("week") % 2 == 0)
+    return [rows.filter(side).drop(*KEY) for side in (past, ~past)]
+
+
 def upsert_append(spark, sf):
-    """Only one year of history, so that most partitions are new and keep their duplicates."""
-    history, batch = _history_and_batch(spark, sf)
-    return upsert.upsert_partitioned(history.filter("year(test_date) = 1997"), batch, new_partition="append")
+    """New partitions keep their duplicates."""
+    return upsert.upsert_partitioned(*_even_weeks_and_rest(spark, sf), new_partition="append")
 
 
 def upsert_global(spark, sf):
@@ -158,8 +166,7 @@ def upsert_counts(spark, sf):
 
 
 def upsert_append_counts(spark, sf):
-    history, batch = _history_and_batch(spark, sf)
-    return upsert.upsert_counts(history.filter("year(test_date) = 1997"), batch, new_partition="append")
+    return upsert.upsert_counts(*_even_weeks_and_rest(spark, sf), new_partition="append")
 
 
 def upsert_totals(spark, sf):
@@ -177,19 +184,12 @@ def _request_feed(spark, sf):
     """Request rows as text: one file per nation, a few of them spoiled by a date in another form."""
     typed = deletion_requests(_table(spark, sf, "customer"), _valid(spark, sf), files=25)
     spoiled = F.col("source_file").isin([f"Requests_{n}.csv" for n in (3, 10, 17, 24)])
-    other_form = F.when(spoiled & (F.dayofmonth("test_date") == 1), F.date_format("test_date", "MM/dd/yyyy"))
+    other_form = F.when(spoiled & (F.dayofmonth("test_date") < 15), F.date_format("test_date", "MM/dd/yyyy"))
     return typed.withColumn("test_date", F.coalesce(other_form, date_text(F.col("test_date"))))
 
 
 def _keys(spark, sf):
-    keys = delete.request_keys(deletion_requests(_table(spark, sf, "customer"), _valid(spark, sf)))
-    return written(spark, keys, "keys")
-
-
-def _odd_lake(spark, sf):
-    """A lake that lacks some of the requested partitions and ids."""
-    rows = upsert.upsert_partitioned(*_history_and_batch(spark, sf, "row_pos % 3 = 0"))
-    return rows.filter("week % 10 <> 0")
+    return delete.request_keys(deletion_requests(_table(spark, sf, "customer"), _valid(spark, sf)))
 
 
 def request_files(spark, sf):
@@ -197,8 +197,8 @@ def request_files(spark, sf):
 
 
 def accepted_requests(spark, sf):
-    checked = written(spark, delete.checked_requests(_request_feed(spark, sf)), "requests")
-    return delete.accepted_requests(checked, written(spark, delete.request_files(checked), "request-files"))
+    checked = delete.checked_requests(_request_feed(spark, sf))
+    return delete.accepted_requests(checked, delete.request_files(checked))
 
 
 def distinct_requests(spark, sf):
@@ -215,25 +215,25 @@ def delete_by_id(spark, sf):
 
 
 def deleted_ids(spark, sf):
-    return delete.deleted_ids(_odd_lake(spark, sf), _keys(spark, sf))
+    return delete.deleted_ids(_lake(spark, sf), _keys(spark, sf))
 
 
 def delete_counts(spark, sf):
-    return delete.delete_counts(_odd_lake(spark, sf), _keys(spark, sf))
+    return delete.delete_counts(_lake(spark, sf), _keys(spark, sf))
 
 
 def delete_misses(spark, sf):
-    return delete.delete_misses(delete.delete_counts(_odd_lake(spark, sf), _keys(spark, sf)))
+    return delete.delete_misses(delete.delete_counts(_lake(spark, sf), _keys(spark, sf)))
 
 
 def delete_totals(spark, sf):
-    return delete.delete_totals(delete.delete_counts(_odd_lake(spark, sf), _keys(spark, sf)))
+    return delete.delete_totals(delete.delete_counts(_lake(spark, sf), _keys(spark, sf)))
 
 
 def delete_lines(spark, sf):
-    stored, keys = written(spark, _odd_lake(spark, sf), "lake"), _keys(spark, sf)
-    counts = written(spark, delete.delete_counts(stored, keys), "delete-counts")
-    return delete.delete_lines(delete.deleted_ids(stored, keys), counts)
+    """Lines of partitions and of samples, one row each."""
+    stored, keys = _lake(spark, sf), _keys(spark, sf)
+    return delete.delete_lines(delete.deleted_ids(stored, keys), delete.delete_counts(stored, keys))
 
 
 # -- report and quarantine ----------------------------------------------------------------------------------------
@@ -274,14 +274,21 @@ def rows_per_file(spark, sf):
 
 
 def apply_corrections(spark, sf):
-    """Typos corrected, rows without a load removed, one row added per nation."""
+    """Typos corrected, some cells twice and some emptied, rows without a load removed, one row added per nation."""
     rows = quarantine.drop_technical(_quarantine(spark, sf).withColumn("file", F.col("source_file")))
     rows = rows.withColumnRenamed("file", "source_file").drop("errors")
-    edits = rows.filter("result = 'Positive' or test_date = '12/01/2025'").select(
-        "source_file",
-        "row_pos",
-        F.when(F.col("result") == "Positive", "POS").alias("result"),
-        F.when(F.col("test_date") == "12/01/2025", "2025-12-01").alias("test_date"),
+    rows = rows.withColumn("extra", F.create_map(F.lit("site"), F.lit("old"), F.lit("row"), F.col("row_pos").cast("string")))
+
+    def edit(condition, field, value, number):
+        cell = [F.lit(field).alias("field"), F.lit(value).cast("string").alias("value"), F.lit(number).alias("edit_no")]
+        return rows.filter(condition).select("source_file", "row_pos", *cell)
+
+    edits = (
+        edit("result = 'Positive'", "result", "NEG", 1)
+        .unionByName(edit("result = 'Positive'", "result", "POS", 2))
+        .unionByName(edit("test_date = '12/01/2025'", "test_date", "2025-12-01", 1))
+        .unionByName(edit("viral_load = 'x'", "viral_load", None, 1))
+        .unionByName(edit("result = 'Positive'", "site", "new", 1))
     )
     removals = rows.filter("viral_load is null").select("source_file", "row_pos")
     additions = _table(spark, sf, "nation").select(
@@ -292,7 +299,8 @@ def apply_corrections(spark, sf):
         F.lit("Lab_Results_0.csv").alias("source_file"),
         (-1 - F.col("n_nationkey")).cast("bigint").alias("row_pos"),
     )
-    return quarantine.apply_corrections(rows, edits, removals, additions)
+    corrected = quarantine.apply_corrections(rows, edits, removals, additions)
+    return corrected.select("*", F.col("extra")["site"].alias("site"), F.col("extra")["row"].alias("row")).drop("extra")
 
 
 # -- audit log ----------------------------------------------------------------------------------------------------
@@ -305,7 +313,7 @@ def _log(spark, sf):
     per_file = checked.groupBy(run, "source_file").agg(
         F.count_if("ok").alias("valid_rows"), F.count_if(~F.col("ok")).alias("error_rows")
     )
-    lines = per_file.select("execution_timestamp", F.col("source_file").alias("line_order"), audit.file_line().alias("line"))
+    lines = per_file.select("execution_timestamp", F.col("source_file").alias("line_order"), file_checked().alias("line"))
     counters = per_file.groupBy("execution_timestamp").agg(
         F.count(F.lit(1)).alias("files_processed"),
         F.sum("error_rows").alias("rows_quarantined"),
@@ -367,9 +375,15 @@ def landing_scan(spark, sf):
 
 
 def file_listing(spark, sf):
+    """Feed files, one without content and one of another kind; sizes of files that are not parts of a feed."""
     root = new_scratch(spark, "landing")
     write_feed(_feed(spark, sf), root)
-    return feeds.shown_files(feeds.list_files(spark, root)).select("source_file")
+    Folder(spark, f"{root}/empty.csv").mark()
+    names = _table(spark, sf, "nation").orderBy("n_nationkey").select(F.col("n_name").alias("value"))
+    names.coalesce(1).write.text(f"{root}/names.txt")
+    shown = feeds.shown_files(feeds.list_files(spark, root))
+    whole = F.when(~F.col("source_file").startswith("Lab_"), F.col("length"))
+    return shown.select("source_file", whole.alias("length"), (F.col("length") > 0).alias("filled"))
 
 
 def quarantine_scan(spark, sf):
@@ -456,6 +470,68 @@ def deletion_log(spark, sf):
     return runs.select("files_processed", "rows_deleted", "partitions_updated")
 
 
+def _rejects(spark, sf):
+    """Zones after a deletion with one good request file and three malformed ones."""
+    zones = Zones.below(new_scratch(spark, "zones"))
+    stored = written(spark, _lake(spark, sf), "lake")
+    stored.hint("rebalance", *KEY).write.partitionBy(*KEY).parquet(zones.lake)
+    number = F.substring("sample_id", 3, 20).cast("bigint")
+    asked = stored.select("sample_id", date_text(F.col("test_date")).alias("test_date"))
+    write_requests(asked.filter(number % 4 == 0), f"{zones.requests}/good.csv")
+    write_requests(asked.filter(number % 4 == 2).withColumn("test_date", F.lit("12/01/2025")), f"{zones.requests}/date.csv")
+    asked.filter(number % 4 == 3).select("sample_id").write.option("header", "true").csv(f"{zones.requests}/column.csv")
+    # A header and a few rows with a field too many; text files have no header of their own, so this is one part.
+    head = spark.createDataFrame([("sample_id,test_date",)], "value string")
+    long = asked.filter(number % 100 == 1).select(F.concat("sample_id", F.lit(","), "test_date", F.lit(",more")).alias("value"))
+    head.unionByName(long).coalesce(1).write.text(f"{zones.requests}/long.csv")
+    delete_job(spark, zones)
+    return zones
+
+
+def deletion_rejects(spark, sf):
+    """What remains in the lake."""
+    return lake.read_lake(spark, _rejects(spark, sf).lake)
+
+
+def deletion_files_kept(spark, sf):
+    """Refused files stay, with the reasons in the lines of the run."""
+    zones = _rejects(spark, sf)
+    lines = feeds.read_run_lines(spark, zones.logs, "deletion").filter("line like 'refused %'")
+    left = feeds.list_files(spark, zones.requests).select("source_file").distinct()
+    return left.join(lines, F.col("line").contains(F.col("source_file")), "left").select("source_file", "line")
+
+
+def ingest_append_job(spark, sf):
+    """Even rows appended with their duplicates, requests applied, then odd rows merged: the last one counts."""
+    zones = Zones.below(new_scratch(spark, "zones"))
+    write_feed(_feed(spark, sf).filter("row_pos % 2 = 0"), zones.landing)
+    ingest(spark, zones, new_partition="append")
+    requests = deletion_requests(_table(spark, sf, "customer"), _valid(spark, sf))
+    write_requests(requests, f"{zones.requests}/deletion_request_1.csv")
+    delete_job(spark, zones)
+    write_feed(_feed(spark, sf).filter("row_pos % 2 = 1"), zones.landing)
+    ingest(spark, zones)
+    return lake.read_lake(spark, zones.lake)
+
+
+def lake_with_report(spark, sf):
+    """A lake whose folder also holds its report and a folder of something else."""
+    zones = Zones.below(new_scratch(spark, "zones"))
+    write_feed(_feed(spark, sf).filter("row_pos % 2 = 0"), zones.landing)
+    ingest(spark, zones)
+    write_report(lake.read_lake(spark, zones.lake), f"{zones.lake}/final.csv")
+    _table(spark, sf, "nation").write.parquet(f"{zones.lake}/year=old/week=none")
+    write_feed(_feed(spark, sf).filter("row_pos % 2 = 1"), zones.landing)
+    ingest(spark, zones)
+    return lake.read_lake(spark, zones.lake)
+
+
+def audit_lines(spark, sf):
+    """Lines about files and partitions of two runs."""
+    lines = feeds.read_run_lines(spark, _two_runs(spark, sf).logs)
+    return lines.filter("line_order.section in (1, 4)").select(F.col("line_order.section").alias("section"), "line")
+
+
 def export_job(spark, sf):
     zones = Zones.below(new_scratch(spark, "zones"))
     _lake(spark, sf).hint("rebalance", *KEY).write.partitionBy(*KEY).parquet(zones.lake)
@@ -473,11 +549,12 @@ def reingest_job(spark, sf):
             "source_file": F.concat(F.lit("Lab_"), F.col("row_pos") % 82, F.lit(".csv")),
         }
     )
-    edits = held.filter("result = 'Positive' or viral_load is null or viral_load = 'x'").select(
-        "source_file",
-        "row_pos",
-        F.when(F.col("result") == "Positive", "POS").alias("result"),
-        F.when(F.coalesce("viral_load", F.lit("x")) == "x", "0").alias("viral_load"),
+    def edit(condition, field, value):
+        cell = [F.lit(field).alias("field"), F.lit(value).alias("value"), F.lit(1).alias("edit_no")]
+        return held.filter(condition).select("source_file", "row_pos", *cell)
+
+    edits = edit("result = 'Positive'", "result", "POS").unionByName(
+        edit("coalesce(viral_load, 'x') = 'x'", "viral_load", "0")
     )
     promote(spark, zones, quarantine.apply_corrections(held, edits))
     return feeds.read_landing(spark, zones.landing).rows.select(*FIELDS, "source_file")
@@ -544,6 +621,11 @@ QUERIES = {
         stream_job,
         deletion_job,
         deletion_log,
+        deletion_rejects,
+        deletion_files_kept,
+        ingest_append_job,
+        lake_with_report,
+        audit_lines,
         export_job,
         reingest_job,
     ]

@@ -49,22 +49,27 @@ lake AS (
 
 REQUESTS = """,
 requests AS (
-  SELECT v.sample_id, v.test_date, v.year, v.week, c.c_nationkey
-  FROM valid v JOIN customer c ON v.sample_id = 'S-' || c.c_custkey WHERE c.c_custkey % 10 = 0),
+  SELECT sample_id, test_date, CAST(year(test_date) AS INTEGER) AS year, CAST(week(test_date) AS INTEGER) AS week,
+         c_nationkey
+  FROM (
+    SELECT sample_id, CASE WHEN isodow(d) > 1 AND year(d - 1) = year(d) THEN d - 1
+                           WHEN isodow(d) < 7 AND year(d + 1) = year(d) THEN d + 1 ELSE d END AS test_date, c_nationkey
+    FROM customer JOIN (SELECT sample_id, max(test_date) AS d FROM valid GROUP BY 1) ON sample_id = 'S-' || c_custkey
+    WHERE c_custkey % 10 = 0
+    UNION ALL
+    SELECT 'S-' || c_custkey, DATE '2031-01-06' + CAST(7 * c_nationkey AS INTEGER), c_nationkey FROM customer
+    WHERE c_custkey % 100 = 0
+    UNION ALL
+    SELECT 'X-' || c_custkey, DATE '1992-01-06' + CAST(7 * (c_custkey % 331) AS INTEGER), c_nationkey FROM customer
+    WHERE c_custkey % 10 = 1)),
 keys AS (SELECT DISTINCT year, week, sample_id FROM requests)"""
 
-ODD_LAKE = (
-    VALID
+DELETED = (
+    LAKE
     + REQUESTS
     + """,
-odd_lake AS (
-  SELECT sample_id, year, week FROM (
-    SELECT *, row_number() OVER (PARTITION BY year, week, sample_id
-                                 ORDER BY is_batch DESC, source_file DESC, row_pos DESC) AS rn
-    FROM valid WHERE row_pos % 3 = 0)
-  WHERE rn = 1 AND week % 10 <> 0),
 ids AS (
-  SELECT DISTINCT l.year, l.week, l.sample_id FROM odd_lake l
+  SELECT DISTINCT l.year, l.week, l.sample_id FROM lake l
   JOIN keys k ON l.year = k.year AND l.week = k.week AND l.sample_id = k.sample_id),
 asked AS (SELECT DISTINCT year, week FROM keys),
 counts AS (
@@ -74,7 +79,7 @@ counts AS (
          CASE WHEN count(l.sample_id) = 0 THEN 'not_found' WHEN count(i.sample_id) = 0 THEN 'no_match'
               ELSE 'deleted' END AS status
   FROM asked a
-  LEFT JOIN odd_lake l ON a.year = l.year AND a.week = l.week
+  LEFT JOIN lake l ON a.year = l.year AND a.week = l.week
   LEFT JOIN ids i ON l.year = i.year AND l.week = i.week AND l.sample_id = i.sample_id
   GROUP BY a.year, a.week)"""
 )
@@ -133,8 +138,8 @@ log AS (
   SELECT execution_timestamp, CAST(count(*) AS BIGINT) AS files_processed,
          CAST(sum(error_rows) AS BIGINT) AS rows_quarantined, CAST(sum(valid_rows) AS BIGINT) AS rows_inserted,
          CAST(0 AS BIGINT) AS rows_updated,
-         CASE WHEN sum(error_rows) > 0 THEN string_agg('✅ Processed ' || source_file || ': ' || valid_rows
-              || ' valid, ' || error_rows || ' errors', ' | ' ORDER BY source_file) ELSE '' END AS processing_details
+         CASE WHEN sum(error_rows) > 0 THEN string_agg('checked ' || source_file || ': ' || valid_rows
+              || ' valid, ' || error_rows || ' rejected', ' | ' ORDER BY source_file) ELSE '' END AS processing_details
   FROM per_file GROUP BY 1)"""
 )
 
@@ -205,7 +210,7 @@ WHOLE_LAKE = _with(LAKE, "SELECT sample_id, test_date, result, viral_load, year,
 REPORT = _with(LAKE, "SELECT sample_id, test_date, result, viral_load FROM lake")
 RECORDS = "sample_id, test_date, result, viral_load"
 KEYS = "year, week, sample_id"
-PARTLY = "(SELECT * FROM valid WHERE is_batch OR year = 1997)"
+BY_WEEKS = "(SELECT * REPLACE (NOT (row_pos % 2 = 0 AND week % 2 = 0) AS is_batch) FROM valid)"
 WITHOUT_REQUESTED = _with(
     LAKE + REQUESTS,
     f"SELECT {RECORDS}, year, week FROM lake l WHERE NOT EXISTS (SELECT 1 FROM keys k "
@@ -257,9 +262,8 @@ SQL = {
         f"""SELECT {RECORDS}, year, week FROM (
   SELECT *, row_number() OVER (PARTITION BY year, week, sample_id
                                ORDER BY is_batch DESC, source_file DESC, row_pos DESC) AS rn,
-         (SELECT count(*) FROM valid h WHERE NOT h.is_batch AND h.year = 1997 AND h.year = v.year
-            AND h.week = v.week) = 0 AS is_new
-  FROM (SELECT * FROM valid WHERE is_batch OR year = 1997) v)
+         bool_and(is_batch) OVER (PARTITION BY year, week) AS is_new
+  FROM {BY_WEEKS})
 WHERE rn = 1 OR is_new""",
     ),
     "upsert_global": _with(
@@ -269,7 +273,7 @@ WHERE rn = 1 OR is_new""",
   FROM valid) WHERE rn = 1""",
     ),
     "upsert_counts": _with(_presence(KEYS), PER_PARTITION.format(inserted=INSERTED_IDS)),
-    "upsert_append_counts": _with(_presence(KEYS, PARTLY), PER_PARTITION.format(inserted=INSERTED_ROWS)),
+    "upsert_append_counts": _with(_presence(KEYS, BY_WEEKS), PER_PARTITION.format(inserted=INSERTED_ROWS)),
     "upsert_totals": _with(
         _presence(KEYS),
         "SELECT CAST(sum(rows_inserted) AS BIGINT) AS rows_inserted, CAST(sum(rows_updated) AS BIGINT) AS rows_updated, "
@@ -284,15 +288,15 @@ WHERE rn = 1 OR is_new""",
     "request_files": _with(
         VALID + REQUESTS,
         """SELECT 'Requests_' || c_nationkey || '.csv' AS source_file,
-       NOT bool_or(c_nationkey % 7 = 3 AND day(test_date) = 1) AS accepted,
-       max(CASE WHEN c_nationkey % 7 = 3 AND day(test_date) = 1 THEN 'Invalid test_date' END) AS reason,
+       NOT bool_or(c_nationkey % 7 = 3 AND day(test_date) < 15) AS accepted,
+       max(CASE WHEN c_nationkey % 7 = 3 AND day(test_date) < 15 THEN 'Invalid test_date' END) AS reason,
        CAST(count(*) AS BIGINT) AS requests
 FROM requests GROUP BY c_nationkey""",
     ),
     "accepted_requests": _with(
         VALID + REQUESTS,
         """SELECT sample_id, test_date, 'Requests_' || c_nationkey || '.csv' AS source_file FROM requests
-WHERE c_nationkey NOT IN (SELECT c_nationkey FROM requests WHERE c_nationkey % 7 = 3 AND day(test_date) = 1)""",
+WHERE c_nationkey NOT IN (SELECT c_nationkey FROM requests WHERE c_nationkey % 7 = 3 AND day(test_date) < 15)""",
     ),
     "distinct_requests": _with(
         VALID + REQUESTS, "SELECT CAST(count(DISTINCT sample_id) AS BIGINT) AS ids FROM requests"
@@ -302,25 +306,20 @@ WHERE c_nationkey NOT IN (SELECT c_nationkey FROM requests WHERE c_nationkey % 7
         LAKE + REQUESTS,
         f"SELECT {RECORDS}, year, week FROM lake WHERE sample_id NOT IN (SELECT sample_id FROM requests)",
     ),
-    "deleted_ids": _with(ODD_LAKE, "SELECT year, week, sample_id FROM ids"),
-    "delete_counts": _with(ODD_LAKE, "SELECT year, week, rows_deleted, rows_remaining, status FROM counts"),
-    "delete_misses": _with(ODD_LAKE, "SELECT year, week, status FROM counts WHERE rows_deleted = 0"),
+    "deleted_ids": _with(DELETED, "SELECT year, week, sample_id FROM ids"),
+    "delete_counts": _with(DELETED, "SELECT year, week, rows_deleted, rows_remaining, status FROM counts"),
+    "delete_misses": _with(DELETED, "SELECT year, week, status FROM counts WHERE rows_deleted = 0"),
     "delete_totals": _with(
-        ODD_LAKE,
+        DELETED,
         "SELECT CAST(sum(rows_deleted) AS BIGINT) AS rows_deleted, "
         "CAST(count(*) FILTER (rows_deleted > 0) AS BIGINT) AS partitions_updated FROM counts",
     ),
     "delete_lines": _with(
-        ODD_LAKE
-        + """,
-spelled AS (SELECT year, week, string_agg(sample_id, ', ' ORDER BY sample_id) AS text FROM ids GROUP BY year, week)""",
-        """SELECT c.year, c.week, '📁 year=' || c.year || '/week=' || c.week || ': ' || CASE status
-         WHEN 'not_found' THEN '⚠️ Partition file not found'
-         WHEN 'no_match' THEN 'ℹ️ No matching records found'
-         ELSE '🗑️ Deleted ' || rows_deleted || ' record(s) | 🆔 IDs: '
-              || CASE WHEN rows_deleted <= 1000 THEN text ELSE 'see the deleted ids table' END
-              || ' | 📊 ' || rows_remaining || ' rows remaining' END AS line
-FROM counts c LEFT JOIN spelled s ON c.year = s.year AND c.week = s.week""",
+        DELETED,
+        """SELECT year, week, 'year=' || year || '/week=' || week || ': ' || CASE status
+         WHEN 'not_found' THEN 'not in the lake' WHEN 'no_match' THEN 'no requested sample'
+         ELSE rows_deleted || ' removed, ' || rows_remaining || ' left' END AS line FROM counts
+UNION ALL SELECT year, week, 'year=' || year || '/week=' || week || ': removed ' || sample_id FROM ids""",
     ),
     "report_rows": REPORT,
     "preview": _with(
@@ -353,10 +352,11 @@ GROUP BY source_file, field, error_type""",
     "apply_corrections": _with(
         QUARANTINE,
         """SELECT sample_id, CASE WHEN test_date = '12/01/2025' THEN '2025-12-01' ELSE test_date END AS test_date,
-       CASE WHEN result = 'Positive' THEN 'POS' ELSE result END AS result, viral_load, row_pos, source_file
+       CASE WHEN result = 'Positive' THEN 'POS' ELSE result END AS result, nullif(viral_load, 'x') AS viral_load, row_pos,
+       source_file, CASE WHEN result = 'Positive' THEN 'new' ELSE 'old' END AS site, CAST(row_pos AS VARCHAR) AS row
 FROM quarantine WHERE viral_load IS NOT NULL
-UNION ALL SELECT 'N-' || n_nationkey, '2025-12-01', 'NEG', '0', CAST(-1 - n_nationkey AS BIGINT), 'Lab_Results_0.csv'
-FROM nation""",
+UNION ALL SELECT 'N-' || n_nationkey, '2025-12-01', 'NEG', '0', CAST(-1 - n_nationkey AS BIGINT), 'Lab_Results_0.csv',
+       NULL, NULL FROM nation""",
     ),
     "log_history": _with(LOG, "SELECT * FROM log"),
     "log_latest": _with(
@@ -389,7 +389,12 @@ FROM nation""",
        CASE WHEN row_pos % 4 = 2 THEN 'site ' || row_pos END AS site,
        'layout_' || (row_pos % 4) || '.csv' AS source_file FROM feed""",
     ),
-    "file_listing": _with(FEED, "SELECT DISTINCT source_file FROM feed"),
+    "file_listing": _with(
+        FEED,
+        """SELECT DISTINCT source_file, CAST(NULL AS BIGINT) AS length, true AS filled FROM feed
+UNION ALL SELECT 'empty.csv', 0, false
+UNION ALL SELECT 'names.txt', CAST(sum(strlen(n_name) + 1) AS BIGINT), true FROM nation""",
+    ),
     "quarantine_scan": _with(
         QUARANTINE, "SELECT sample_id, test_date, result, viral_load, pipeline_error FROM quarantine"
     ),
@@ -437,6 +442,40 @@ FROM nation""",
         """SELECT CAST(1 AS BIGINT) AS files_processed, CAST(count(*) AS BIGINT) AS rows_deleted,
        CAST(count(DISTINCT l.year * 100 + l.week) AS BIGINT) AS partitions_updated
 FROM lake l JOIN keys k ON k.year = l.year AND k.week = l.week AND k.sample_id = l.sample_id""",
+    ),
+    "deletion_rejects": _with(
+        LAKE, f"SELECT {RECORDS}, year, week FROM lake WHERE CAST(substr(sample_id, 3) AS BIGINT) % 4 <> 0"
+    ),
+    "deletion_files_kept": """
+SELECT 'column.csv' AS source_file, 'refused column.csv: Missing required columns' AS line
+UNION ALL SELECT 'date.csv', 'refused date.csv: Invalid test_date'
+UNION ALL SELECT 'long.csv', 'refused long.csv: Row longer than its header'""",
+    "ingest_append_job": _with(
+        VALID
+        + REQUESTS
+        + """,
+both_sides AS (
+  SELECT * FROM valid v WHERE is_batch OR NOT EXISTS (SELECT 1 FROM keys k
+    WHERE k.year = v.year AND k.week = v.week AND k.sample_id = v.sample_id))""",
+        f"""SELECT {RECORDS}, year, week FROM (
+  SELECT *, row_number() OVER (PARTITION BY year, week, sample_id
+                               ORDER BY is_batch DESC, source_file DESC, row_pos DESC) AS rn,
+         bool_or(is_batch) OVER (PARTITION BY year, week) AS is_touched
+  FROM both_sides)
+WHERE rn = 1 OR NOT is_touched""",
+    ),
+    "lake_with_report": WHOLE_LAKE,
+    "audit_lines": _with(
+        _presence(KEYS),
+        f"""SELECT 1 AS section, 'checked ' || source_file || ': ' || count(*) FILTER (ok) || ' valid, '
+       || count(*) FILTER (NOT ok) || ' rejected' AS line FROM checked GROUP BY row_pos % 2, source_file
+UNION ALL
+SELECT 4, 'year=' || year || '/week=' || week || ': ' || count(DISTINCT sample_id) || ' inserted, new partition'
+FROM valid WHERE NOT is_batch GROUP BY year, week
+UNION ALL
+SELECT 4, 'year=' || year || '/week=' || week || ': ' || rows_inserted || ' inserted, '
+       || CASE WHEN is_new THEN 'new partition' ELSE rows_updated || ' updated' END
+FROM ({PER_PARTITION.format(inserted=INSERTED_IDS)})""",
     ),
     "export_job": REPORT,
     "reingest_job": _with(

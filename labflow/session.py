@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -44,9 +45,27 @@ def scratch_root(spark):
     return folder
 
 
+# Folder of the job that is running, if one is.
+_of_run = []
+
+
+@contextmanager
+def run_scratch(spark):
+    """A scratch folder for one job, removed when it ends, however it ends."""
+    root = f"{scratch_root(spark)}/labflow/run-{uuid.uuid4().hex}"
+    _of_run.append(root)
+    try:
+        yield root
+    finally:
+        _of_run.remove(root)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def new_scratch(spark, label):
-    """A path under the scratch folder that no other run uses."""
-    return f"{scratch_root(spark)}/labflow/{label}-{uuid.uuid4().hex}"
+    """A path under the scratch folder, or under that of the job, that nothing else uses."""
+    root = _of_run[-1] if _of_run else f"{scratch_root(spark)}/labflow"
+    return f"{root}/{label}-{uuid.uuid4().hex}"
 
 
 def written(spark, df, label):

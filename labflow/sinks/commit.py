@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from labflow.functions.partition import KEY
 from labflow.schema import LAKE
+from labflow.sources.lake import PARTITION_NAMES
 from labflow.sources.storage import Folder, has_files, subfolders
 
 STAGING = "_staging"
@@ -62,9 +63,19 @@ class Run:
             self.staged("ledger", "files")
         )
 
-    def seal(self):
+    def seal(self, retire_inputs=False):
+        """From here on the run will be finished, by whom ever; so will the retirement of its inputs."""
+        if retire_inputs:
+            self._folder("logs", "RETIRE").mark()
         self._folder("logs", "SEALED").mark()
 
+    def inputs(self):
+        """Paths to delete once the run is in place."""
+        place = self._place("ledger", f"run_id={self.run_id}")
+        if not self._folder("logs", "RETIRE").exists() or not place.exists():
+            return []
+        return [r.path for r in self.spark.read.schema(LEDGER).parquet(str(place)).select("path").toLocalIterator()]
+
     def _folder(self, zone, name=""):
         return Folder(self.spark, self.staged(zone, name))
 
@@ -72,9 +83,9 @@ class Run:
         return Folder(self.spark, f"{getattr(self.zones, zone)}/{name}")
 
     def finish(self):
-        """Move sealed outputs into place: lake, quarantine, audit rows, ledger. Safe to repeat."""
+        """Move sealed outputs into place: lake, quarantine, audit rows, ledger; then retire inputs. Safe to repeat."""
         lake = Folder(self.spark, self.zones.lake)
-        moves = [(lake.child("/".join(names)), part) for names, part in subfolders(self._folder("lake", "rows"), 2)]
+        moves = [(lake.child("/".join(names)), part) for names, part in subfolders(self._folder("lake", "rows"), PARTITION_NAMES)]
         with ThreadPoolExecutor(MOVERS) as pool:
             list(pool.map(lambda move: move[0].replace_with(move[1]), moves))
         if self._folder("lake", "emptied").exists():
@@ -85,6 +96,7 @@ class Run:
         for kind in ("execution", "execution_lines", "deletion", "deletion_lines", "deleted_ids"):
             self._place("logs", f"{kind}/run_id={self.run_id}").replace_with(self._folder("logs", kind))
         self._place("ledger", f"run_id={self.run_id}").replace_with(self._folder("ledger", "files"))
+        retire(self.spark, self.inputs())
         self.discard()
 
     def discard(self):
@@ -93,7 +105,7 @@ class Run:
 
 
 def recover(spark, zones):
-    """Finish runs that were interrupted after sealing and drop what unsealed ones left."""
+    """Finish runs that were interrupted after sealing, their inputs included, and drop what unsealed ones left."""
     started = {
         name
         for zone in ("lake", "quarantine", "ledger", "logs")
@@ -120,9 +132,9 @@ def consumed(listing, ledger):
 
 
 def retire(spark, paths):
-    """Delete consumed inputs."""
-    for path in paths:
-        Folder(spark, path).delete()
+    """Delete consumed inputs, many at a time."""
+    with ThreadPoolExecutor(MOVERS) as pool:
+        list(pool.map(lambda path: Folder(spark, path).delete(), paths))
 
 
 def staged_rows(run):

@@ -16,6 +16,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labflow.functions.text import split_details
 from labflow.operators.delete import REQUEST_FIELDS
 from labflow.schema import COUNTERS, FIELDS, TECHNICAL, run_log, text_feed
 from labflow.sources.storage import Folder, first_line, has_files
@@ -66,13 +67,19 @@ def _binary_files(spark, root, pattern):
     )
 
 
-def list_files(spark, root, pattern="*.csv"):
-    """Logical name, path, size and time of the files under a root; no content is read and empty files are absent."""
+def list_files(spark, root, pattern="*"):
+    """Logical name, path, size and time of all files under a root, empty ones included; no content is read."""
     root = str(Folder(spark, root))
     if not has_files(spark, root):
         listing = spark.createDataFrame([], LISTING)
     else:
         listing = _binary_files(spark, root, pattern).select("path", "length", "modificationTime")
+        # The scan passes empty files over; Spark's own listing has their names.
+        names = spark.createDataFrame([(p,) for p in feed_paths(spark, root, pattern)], "path string")
+        empty = [
+            (r.path, 0, Folder(spark, r.path).modified()) for r in names.join(listing, "path", "left_anti").toLocalIterator()
+        ]
+        listing = listing.unionByName(spark.createDataFrame(empty, LISTING))
     return listing.withColumn("source_file", logical_name(F.col("path"), root))
 
 
@@ -152,7 +159,8 @@ def _scan(spark, paths, header, fields, root, multi_line):
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("seq"),
         ).alias("row_pos"),
-        _too_many_fields(F.col("malformed"), len(header)).alias("ragged"),
+        # Spark does not read the text of malformed records without any other column.
+        (_too_many_fields(F.col("malformed"), len(header)) & (F.length(F.coalesce("c0", F.lit(""))) >= 0)).alias("ragged"),
     )
 
 
@@ -197,7 +205,12 @@ def read_logs(spark, root, kind="execution"):
     """Runs from ``execution_*`` or ``deletion_*`` CSV logs, details as joined text; unreadable files are skipped."""
     counters = COUNTERS[kind]
     names = ["execution_timestamp", *counters, "processing_details"]
-    rows = read_feed(spark, root, names, pattern="*.csv").rows.filter(F.col("source_file").startswith(f"{kind}_"))
+    root = str(Folder(spark, root))
+    # Only files of the kind are opened.
+    paths = [p for p in feed_paths(spark, root, "*.csv") if name_of(p, root).startswith(f"{kind}_")]
+    rows = read_feed(spark, root, names, paths=paths).rows
+    # A file with a row longer than its header is unreadable.
+    rows = rows.join(rows.filter("ragged").select("source_file").distinct(), "source_file", "left_anti")
     return rows.select(
         F.col("execution_timestamp").try_cast("timestamp").alias("execution_timestamp"),
         *[F.col(c).try_cast("bigint").alias(c) for c in counters],
@@ -211,3 +224,20 @@ def read_runs(spark, root, kind="execution"):
     if not has_files(spark, folder):
         return spark.createDataFrame([], run_log(kind))
     return spark.read.schema(run_log(kind)).option("recursiveFileLookup", "true").parquet(folder)
+
+
+def read_run_lines(spark, root, kind="execution"):
+    """All lines of all runs, as rows with the run's id."""
+    folder = f"{root}/{kind}_lines"
+    schema = "line_order struct<section:int,key:string>, line string, run_id string"
+    if not has_files(spark, folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(folder)
+
+
+def read_all_runs(spark, root, kind="execution"):
+    """One history over the CSV logs and the audit table, details as an array."""
+    old = read_logs(spark, root, kind)
+    details = F.when(F.coalesce("processing_details", F.lit("")) != "", split_details(F.col("processing_details")))
+    old = old.withColumn("details", details).drop("processing_details")
+    return old.unionByName(read_runs(spark, root, kind).select(*old.columns))

@@ -1,5 +1,7 @@
 """Folder operations through the Hadoop file system the session is configured for."""
 
+from datetime import datetime
+
 
 class Folder:
     """A path and its file system; works for any scheme the cluster can reach."""
@@ -30,6 +32,9 @@ class Folder:
             return []
         return sorted(s.getPath().getName() for s in self.fs.listStatus(self.path))
 
+    def modified(self):
+        return datetime.fromtimestamp(self.fs.getFileStatus(self.path).getModificationTime() / 1000)
+
     def delete(self):
         return self.fs.delete(self.path, True)
 
@@ -52,28 +57,28 @@ def has_files(spark, path):
     return any(not n.startswith(("_", ".")) for n in Folder(spark, path).names())
 
 
-def first_line(spark, path, limit=1 << 20):
-    """First line of a text file without reading further; None for an empty file or an endless line."""
+def first_line(spark, path):
+    """First line of a text file without reading further; None for an empty file."""
     folder = Folder(spark, path)
     jvm = spark._jvm
     stream = folder.fs.open(folder.path)
     try:
         text = jvm.org.apache.hadoop.io.Text()
         reader = jvm.org.apache.hadoop.util.LineReader(stream)
-        consumed = reader.readLine(text, limit + 1, limit + 1)
+        consumed = reader.readLine(text)
     finally:
         stream.close()
-    if consumed == 0 or text.getLength() > limit:
+    if consumed == 0:
         return None
     return text.toString()
 
 
-def subfolders(folder, depth):
-    """Folders ``depth`` levels below, hidden ones excluded, with the names that lead to them."""
-    if depth == 0:
+def subfolders(folder, patterns):
+    """Folders whose names match ``patterns``, one a level, with the names that lead to them."""
+    if not patterns:
         return [((), folder)]
     found = []
     for name in folder.names():
-        if not name.startswith(("_", ".")):
-            found += [((name, *rest), leaf) for rest, leaf in subfolders(folder.child(name), depth - 1)]
+        if patterns[0].fullmatch(name):
+            found += [((name, *rest), leaf) for rest, leaf in subfolders(folder.child(name), patterns[1:])]
     return found

@@ -1,48 +1,42 @@
 """Incremental landing run on Structured Streaming.
 
-The stream tracks which files are new; every micro-batch hands its file names to the same batch functions. Columns are
-bound by header there, which a CSV stream with one fixed schema could not do.
+The stream only notices that files are new. They are ingested together once it has caught up, by the same batch function
+and in the same order of names and positions, however the stream cut them into micro-batches.
 """
 
 from labflow.plans.ingest import ingest, pending_paths
-from labflow.sinks.commit import recover
 
 FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def landing_files(spark, zones, per_batch=1_000):
+def landing_files(spark, zones, per_batch=None):
     """New landing files as a stream of names; contents are not read."""
-    return (
+    reader = (
         spark.readStream.schema(FILE)
         .format("binaryFile")
         .option("pathGlobFilter", "*.csv")
         .option("recursiveFileLookup", "true")
         .option("ignoreMissingFiles", "true")
-        .option("maxFilesPerTrigger", per_batch)
-        .load(zones.landing)
-        .select("path")
     )
+    if per_batch:
+        reader = reader.option("maxFilesPerTrigger", per_batch)
+    return reader.load(zones.landing).select("path")
 
 
-def ingest_new_files(spark, zones, checkpoint, per_batch=1_000, **options):
+def ingest_new_files(spark, zones, checkpoint, per_batch=None, **options):
     """Ingest whatever is new and stop; returns the finished query.
 
-    A micro-batch that is repeated after a failure finds its files in the ledger and does nothing twice.
+    The ledger says what earlier runs consumed, so a run that broke off between the stream and the ingest is made up
+    for by the next one. Empty files are pending files like any other.
     """
-
-    def run(batch, _):
-        recover(spark, zones)
-        names = {r.path for r in batch.toLocalIterator()}  # at most ``per_batch`` names
-        paths = sorted(names & set(pending_paths(spark, zones, "landing")))
-        if paths:
-            ingest(spark, zones, paths=paths, **options)
-
     query = (
         landing_files(spark, zones, per_batch)
         .writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(run)
+        .foreachBatch(lambda batch, _: batch.write.format("noop").mode("overwrite").save())
         .start()
     )
     query.awaitTermination()
+    if pending_paths(spark, zones, "landing"):
+        ingest(spark, zones, **options)
     return query

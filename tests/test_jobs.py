@@ -10,7 +10,7 @@ from labflow.operators import audit, quarantine
 from labflow.plans.deletion import delete
 from labflow.plans.export import export
 from labflow.plans.ingest import ingest, pending_paths
-from labflow.plans.reingest import promote, reingest
+from labflow.plans.reingest import discard, promote, reingest
 from labflow.sinks import commit
 from labflow.sources import feeds
 from labflow.sources.lake import read_lake
@@ -29,7 +29,10 @@ def left(zones, zone):
 
 
 def lines(spark, zones, kind="execution"):
-    return [r.line for r in audit.detail_lines(audit.history(feeds.read_runs(spark, zones.logs, kind)).limit(1)).collect()]
+    """All lines of the last run, in order."""
+    found = feeds.read_run_lines(spark, zones.logs, kind).collect()
+    last = max(r.run_id for r in found)
+    return [r.line for r in sorted((r for r in found if r.run_id == last), key=lambda r: (*r.line_order, r.line))]
 
 
 def counters(*values):
@@ -42,19 +45,17 @@ def test_land_quarantine_correct_reingest_delete_report(spark, zones, put):
     assert ingest(spark, zones) == counters(2, 1, 2, 0)
     assert left(zones, "landing") == ["zero.csv"]
     got = lines(spark, zones)
-    assert got[0] == "📦 Found 2 file(s) in landing zone"
-    assert got[1:3] == ["✅ Processed Lab_Results_1.csv: 2 valid, 1 errors", "❌ Failed to read CSV zero.csv"]
-    assert got[3].startswith("⚠️ Quarantined 1 row(s) to quarantine_")
-    assert got[4:] == [
-        "📊 Processing 2 valid record(s) across 1 partition(s)",
-        "   📁 year=2025/week=49: ➕ 2 inserted (new partition)",
-    ]
+    assert got[0] == "2 files in the landing zone"
+    assert got[1:3] == ["checked Lab_Results_1.csv: 2 valid, 1 rejected", "unreadable: zero.csv"]
+    assert got[3].startswith("1 rows to quarantine_")
+    assert got[4:] == ["2 valid records in 1 partitions", "year=2025/week=49: 2 inserted, new partition"]
 
     # The uncorrected file does not pass the gate and stays.
     assert reingest(spark, zones) == [] and len(left(zones, "quarantine")) == 1
     held = feeds.read_quarantine(spark, zones.quarantine)
     assert "Invalid result code: 'Positive'" in held.rows.first().pipeline_error
-    edits = held.rows.select("source_file", "row_pos", F.lit("POS").alias("result"))
+    cell = [F.lit("result").alias("field"), F.lit("POS").alias("value"), F.lit(1).alias("edit_no")]
+    edits = held.rows.select("source_file", "row_pos", *cell)
     names = promote(spark, zones, quarantine.apply_corrections(held.rows, edits))
     assert names == held.files
     commit.retire(spark, feeds.feed_paths(spark, zones.quarantine))
@@ -73,15 +74,16 @@ def test_land_quarantine_correct_reingest_delete_report(spark, zones, put):
     assert left(zones, "requests") == ["r2.csv", "r3.csv"]
     assert [s for s, *_ in lake(spark, zones)] == ["TEST-001", "TEST-999"]
     assert lines(spark, zones, "deletion") == [
-        "📦 Found 3 deletion request file(s)",
-        "✅ Processed r1.csv: 2 deletion request(s)",
-        "⚠️ Skipped r2.csv: Missing required columns",
-        "❌ Error processing r3.csv: Invalid test_date",
-        "🔍 Total unique deletion requests: 2",
-        "📊 Checking 2 partition(s)",
-        "📁 year=2024/week=1: ⚠️ Partition file not found",
-        "📁 year=2025/week=49: 🗑️ Deleted 1 record(s) | 🆔 IDs: TEST-002 | 📊 2 rows remaining",
-        "✅ Deletion Complete: 1 rows deleted across 1 partition(s)",
+        "3 deletion request files",
+        "accepted r1.csv: 2 requests",
+        "refused r2.csv: Missing required columns",
+        "refused r3.csv: Invalid test_date",
+        "2 different samples requested",
+        "2 partitions requested",
+        "year=2024/week=1: not in the lake",
+        "year=2025/week=49: 1 removed, 2 left",
+        "year=2025/week=49: removed TEST-002",
+        "1 rows removed from 1 partitions",
     ]
     ids = spark.read.parquet(f"{zones.logs}/deleted_ids")
     assert rows(ids, "year", "week", "sample_id") == [(2025, 49, "TEST-002")]
@@ -105,7 +107,10 @@ def test_same_input_again_inserts_nothing(spark, zones, put):
     assert len(left(zones, "quarantine")) == 2
     assert ingest(spark, zones) == counters(0, 0, 0, 0)
     assert feeds.read_runs(spark, zones.logs).count() == 3
-    assert lines(spark, zones) == ["📭 No new files to process"]
+    assert lines(spark, zones) == ["no new files"]
+    # Nothing that a run wrote for itself stays behind.
+    scratch = spark.conf.get("spark.checkpoint.dir") + "/labflow"
+    assert not [n for n in os.listdir(scratch) if n.startswith("run-")]
     assert delete(spark, zones) == {"files_processed": 0, "rows_deleted": 0, "partitions_updated": 0}
     assert export(spark, commit.Zones.below(zones.reports)) is None
 
@@ -133,7 +138,45 @@ def test_a_file_with_a_long_row_is_left_alone(spark, zones, put):
     assert ingest(spark, zones) == counters(2, 0, 1, 0)
     assert left(zones, "landing") == ["bad.csv"]
     assert [s for s, *_ in lake(spark, zones)] == ["c"]
-    assert "❌ Failed to read CSV bad.csv" in lines(spark, zones)
+    assert "unreadable: bad.csv" in lines(spark, zones)
+
+
+def test_a_malformed_request_file_deletes_nothing(spark, zones, put):
+    put("landing", "a.csv", HEAD + "A,2025-01-06,POS,1\nB,2025-01-06,NEG,2\n")
+    ingest(spark, zones)
+    put("requests", "long.csv", "sample_id,test_date\nA,2025-01-06,junk,more\n")
+    put("requests", "good.csv", "sample_id,test_date\nB,2025-01-07\n")
+    assert delete(spark, zones)["rows_deleted"] == 1
+    assert [s for s, *_ in lake(spark, zones)] == ["A"] and left(zones, "requests") == ["long.csv"]
+    assert "refused long.csv: Row longer than its header" in lines(spark, zones, "deletion")
+
+
+def test_other_files_in_the_lake_are_passed_over(spark, zones, put):
+    put("landing", "a.csv", HEAD + "A,2025-01-06,POS,1\n")
+    ingest(spark, zones)
+    put("lake", "final.csv", "sample_id\nA\n")
+    os.makedirs(f"{zones.lake}/year=2025/notes")
+    put("landing", "b.csv", HEAD + "B,2025-01-06,POS,1\n")
+    assert ingest(spark, zones) == counters(1, 0, 1, 0)
+    assert read_lake(spark, zones.lake).count() == 2
+
+
+def test_a_deletion_keeps_which_duplicate_is_last(spark, zones, put):
+    many = "".join(f"x{i:05d},2025-01-06,POS,{i}\n" for i in range(3000))
+    put("landing", "a.csv", HEAD + "A,2025-01-06,POS,1\n" + many + "A,2025-01-07,NEG,2\n")
+    ingest(spark, zones, new_partition="append")
+    put("requests", "r.csv", "sample_id,test_date\nx00007,2025-01-06\n")
+    assert delete(spark, zones)["rows_deleted"] == 1
+    put("landing", "b.csv", HEAD + "B,2025-01-06,POS,1\n")
+    ingest(spark, zones)
+    assert [r for r in lake(spark, zones) if r[0] == "A"] == [("A", "2025-01-07", "NEG", 2)]
+
+
+def test_discarded_quarantine_files_go(spark, zones, put):
+    put("landing", "a.csv", HEAD + "A,bad,POS,1\n")
+    ingest(spark, zones)
+    discard(spark, zones, left(zones, "quarantine"))
+    assert feeds.feed_paths(spark, zones.quarantine) == []
 
 
 @pytest.mark.parametrize("mode", ["dedup", "append"])
@@ -145,18 +188,20 @@ def test_a_batch_of_new_weeks_only(spark, zones, put, mode):
     assert [v for *_, v in lake(spark, zones)] == [1, 2]
 
 
-def test_many_lines_stay_in_their_table(spark, zones, put, monkeypatch):
-    monkeypatch.setattr("labflow.plans.ingest.INLINE_LINES", 3)
+def test_run_rows_hold_lines_about_the_run_only(spark, zones, put):
     put("landing", "a.csv", DAY1)
     ingest(spark, zones)
-    assert [line[:2] for line in lines(spark, zones)] == ["📦 ", "⚠️", "📊 "]
-    assert spark.read.parquet(f"{zones.logs}/execution_lines").count() == 5
+    run = feeds.read_runs(spark, zones.logs)
+    assert [line.split()[1] for line in run.first().details] == ["files", "rows", "valid"]
+    assert len(lines(spark, zones)) == 5
+    named = spark.read.parquet(f"{zones.logs}/execution")
+    assert audit.lines_of_runs(named, feeds.read_run_lines(spark, zones.logs)).count() == 5
 
 
 def test_only_bad_rows(spark, zones, put):
     put("landing", "a.csv", "sample_id,test_date,result,viral_load,site\na,,POS,1,lab 7\n")
     assert ingest(spark, zones) == counters(1, 1, 0, 0)
-    assert lines(spark, zones)[-1] == "ℹ️ No valid data to process"
+    assert lines(spark, zones)[-1] == "no valid records"
     held = feeds.read_quarantine(spark, zones.quarantine)
     assert held.rows.first().extra == {"site": "lab 7"}
 
@@ -205,6 +250,7 @@ def test_a_run_cut_off_while_moving_is_finished_by_the_next(spark, zones, put, m
     assert left(zones, "landing") == ["b.csv"]
     # The next run completes the first, finds its file consumed, and has nothing of its own to do.
     assert ingest(spark, zones) == counters(0, 0, 0, 0)
+    assert left(zones, "landing") == []
     assert lake(spark, zones) == [
         ("a", "2025-12-02", "NEG", 9),
         ("b", "2025-12-15", "POS", 2),
@@ -218,7 +264,7 @@ def test_a_run_cut_off_while_moving_is_finished_by_the_next(spark, zones, put, m
 def test_a_run_cut_off_before_sealing_leaves_no_trace(spark, zones, put, monkeypatch):
     put("landing", "a.csv", DAY1)
 
-    def fail(self):
+    def fail(self, retire_inputs):
         raise Interrupted
 
     monkeypatch.setattr(commit.Run, "seal", fail)
@@ -245,6 +291,15 @@ def test_stream_takes_each_file_once(spark, zones, put, tmp_path):
     assert feeds.read_runs(spark, zones.logs).count() == 2
 
 
+@pytest.mark.parametrize("per_batch", [1, 1000])
+def test_the_last_row_does_not_depend_on_micro_batches(spark, zones, put, tmp_path, per_batch):
+    for name, load in (("c.csv", 3), ("a.csv", 1), ("b.csv", 2)):
+        put("landing", name, HEAD + f"A,2025-01-06,POS,{load}\n")
+    ingest_new_files(spark, zones, str(tmp_path / "checkpoint"), per_batch=per_batch)
+    assert [v for *_, v in lake(spark, zones)] == [3]
+    assert feeds.read_runs(spark, zones.logs).count() == 1
+
+
 def test_a_hot_partition_is_written_by_many_tasks(spark, zones, monkeypatch):
     """Most rows fall into one week; AQE splits it instead of handing it to one task."""
     from labflow.sinks.files import write_feed

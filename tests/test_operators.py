@@ -148,12 +148,12 @@ def test_deletion_matches_the_week_not_the_date(spark, records):
     assert tuple(delete.delete_totals(counts).first()) == (2, 2)
 
 
-def test_log_line_spells_ids_only_below_the_limit(spark, records):
+def test_every_removed_id_is_a_line(spark, records):
     lake = with_partition(records([(f"s{i}", "2025-12-01", "POS", i, H, i) for i in range(5)]))
     keys = lake.select("year", "week", "sample_id")
     ids, counts = delete.deleted_ids(lake, keys), delete.delete_counts(lake, keys)
-    assert "IDs: s0, s1, s2, s3, s4 |" in delete.delete_lines(ids, counts).first().line
-    assert "IDs: see the deleted ids table |" in delete.delete_lines(ids, counts, limit=4).first().line
+    lines = [r.line for r in delete.delete_lines(ids, counts).collect()]
+    assert sum(line.endswith(tuple(f"removed s{i}" for i in range(5))) for line in lines) == 5 and len(lines) == 6
     assert ids.count() == 5
 
 
@@ -165,20 +165,31 @@ def test_corrections(spark, feed):
             ("c", "2025-12-01", "POS", None, "q.csv", 3),
         ]
     ).withColumn("pipeline_error", F.lit("some error"))
+    held = held.withColumn("extra", F.create_map(F.lit("site"), F.lit("old")))
     edits = spark.createDataFrame(
-        [("q.csv", 1, "2025-12-01", "POS", None), ("q.csv", 2, None, None, "7")],
-        "source_file string, row_pos bigint, test_date string, result string, viral_load string",
+        [
+            ("q.csv", 1, "test_date", "2025-12-01", 1),
+            ("q.csv", 1, "result", "POS", 2),
+            ("q.csv", 1, "result", "NEG", 1),
+            ("q.csv", 2, "viral_load", "7", 1),
+            ("q.csv", 2, "result", None, 3),
+            ("q.csv", 2, "site", "new", 1),
+            ("q.csv", 2, "room", "9", 1),
+        ],
+        "source_file string, row_pos bigint, field string, value string, edit_no int",
     )
     removals = spark.createDataFrame([("q.csv", 3)], "source_file string, row_pos bigint")
     added = feed([("d", "2025-12-02", "NEG", "0", "q.csv", 4)])
     got = quarantine.apply_corrections(held, edits, removals, added)
     assert rows(got, "sample_id", "test_date", "result", "viral_load") == [
         ("a", "2025-12-01", "POS", "1"),
-        ("b", "2025-12-01", "N/A", "7"),
+        ("b", "2025-12-01", None, "7"),
         ("d", "2025-12-02", "NEG", "0"),
     ]
+    extras = {r.sample_id: r.extra for r in got.collect()}
+    assert extras == {"a": {"site": "old"}, "b": {"site": "new", "room": "9"}, "d": None}
     assert set(quarantine.drop_technical(got).columns).isdisjoint({"pipeline_error", "source_file"})
-    assert quarantine.drop_technical(held.drop("pipeline_error")).columns == [*FIELDS, "row_pos"]
+    assert quarantine.drop_technical(held.drop("pipeline_error")).columns == [*FIELDS, "row_pos", "extra"]
 
 
 def test_pending_files_and_counts(feed):
