@@ -22,8 +22,9 @@ WORD_SIZE, RUN_SIZE, HIDDEN = 4, 4, 8
 SLICE_CHARS = 2 << 20
 SAMPLE = 4000
 SAMPLE_CHARS = 16_000
-EPOCHS = 4
 BATCH = 256
+# Steps of training whatever the size of the sample: a small one is gone through more often.
+UPDATES = 120
 # Scores that are too low lose a toxic text, so its windows weigh a little more.
 POSITIVE_WEIGHT = 1.5
 SEED = 11
@@ -240,8 +241,8 @@ def _log_odds(texts, labels, strength=2.0):
     ]
 
 
-def train(texts, labels, epochs=EPOCHS, seed=SEED):
-    """A model from texts and labels (0 or 1). Texts of one label only give a model that returns that label's share.
+def train(texts, labels, updates=UPDATES, seed=SEED):
+    """A model from texts and labels (0 or 1). Texts of one label only, or without words, give a model that returns the share of label 1.
 
     A label says that some window of the text is toxic, not which. Each epoch takes the highest-scored window of every
     text (by log-odds before the first), and as many windows of clean texts at random. Log-odds that the network trains on
@@ -249,7 +250,7 @@ def train(texts, labels, epochs=EPOCHS, seed=SEED):
     """
     labels = [int(x) for x in labels]
     share = sum(labels) / max(len(labels), 1)
-    if not 0 < share < 1:
+    if not 0 < share < 1 or not any(map(WORD.search, texts)):
         return {"share": share}
     rng = np.random.default_rng(seed)
     half = rng.permutation(len(texts)) % 2
@@ -273,7 +274,8 @@ def train(texts, labels, epochs=EPOCHS, seed=SEED):
         strongest = np.r_[x[k][:, 1] + x[k][:, 0], np.float32(-9)]
         own = side_of == k
         scores[own] = strongest[rows[own]].max(1)
-    for epoch in range(epochs):
+    epoch = 0
+    while step < updates:
         if epoch:
             for k in (0, 1):
                 own = np.flatnonzero(side_of == k)
@@ -281,6 +283,7 @@ def train(texts, labels, epochs=EPOCHS, seed=SEED):
                 for start in range(0, len(own), 8192):
                     part = own[start : start + 8192]
                     scores[part] = forward(network, projected, rows[part])
+        epoch += 1
         order = np.lexsort((-scores, owner))
         first = order[np.r_[True, owner[order][1:] != owner[order][:-1]]]
         other = np.flatnonzero(truth == 0)
@@ -296,6 +299,7 @@ def train(texts, labels, epochs=EPOCHS, seed=SEED):
             # The number of no word, if there is one, comes first.
             local = np.where(shown >= 0, place.reshape(shown.shape) - (used[0] < 0), -1)
             used = used[used >= 0]
+            step += 1
             if not len(used):
                 continue
             batch = Runs([words[i] for i in used])
@@ -316,7 +320,6 @@ def train(texts, labels, epochs=EPOCHS, seed=SEED):
                 gathered = _sum_by(flat[real], steps[real], len(stacked))
                 grads[f"{side}_x"] = stacked.T @ gathered
                 d_stacked += gathered @ network[f"{side}_x"].T
-            step += 1
             for name, g in grads.items():
                 m, v = moments[name]
                 m += 0.1 * (g - m)
