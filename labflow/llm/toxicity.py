@@ -22,9 +22,9 @@ WORD_SIZE, RUN_SIZE, HIDDEN = 4, 4, 8
 SLICE_CHARS = 2 << 20
 SAMPLE = 4000
 SAMPLE_CHARS = 16_000
-BATCH = 256
+BATCH = 128
 # Steps of training whatever the size of the sample: a small one is gone through more often.
-UPDATES = 120
+UPDATES = 250
 # Scores that are too low lose a toxic text, so its windows weigh a little more.
 POSITIVE_WEIGHT = 1.5
 SEED = 11
@@ -242,11 +242,13 @@ def _log_odds(texts, labels, strength=2.0):
 
 
 def train(texts, labels, updates=UPDATES, seed=SEED):
-    """A model from texts and labels (0 or 1). Texts of one label only, or without words, give a model that returns the share of label 1.
+    """A model from texts and labels (0 or 1).
+
+    Texts of one label only, or without words, give a model that returns the share of label 1.
 
     A label says that some window of the text is toxic, not which. Each epoch takes the highest-scored window of every
-    text (by log-odds before the first), and as many windows of clean texts at random. Log-odds that the network trains on
-    come from the other half of the texts, so that it meets them as it will on new texts.
+    text (by log-odds for the first quarter of the steps), and as many windows of clean texts at random. Log-odds that
+    the network trains on come from the other half of the texts, so that it meets them as it will on new texts.
     """
     labels = [int(x) for x in labels]
     share = sum(labels) / max(len(labels), 1)
@@ -274,16 +276,15 @@ def train(texts, labels, updates=UPDATES, seed=SEED):
         strongest = np.r_[x[k][:, 1] + x[k][:, 0], np.float32(-9)]
         own = side_of == k
         scores[own] = strongest[rows[own]].max(1)
-    epoch = 0
     while step < updates:
-        if epoch:
+        # The network's own choice of windows counts once it has learnt something.
+        if step >= updates // 4:
             for k in (0, 1):
                 own = np.flatnonzero(side_of == k)
                 projected = project(network, inputs(runs, crossed[k], vectors))
                 for start in range(0, len(own), 8192):
                     part = own[start : start + 8192]
                     scores[part] = forward(network, projected, rows[part])
-        epoch += 1
         order = np.lexsort((-scores, owner))
         first = order[np.r_[True, owner[order][1:] != owner[order][:-1]]]
         other = np.flatnonzero(truth == 0)
