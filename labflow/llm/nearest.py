@@ -5,7 +5,7 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from labflow.llm.common import Scratch, ship_package
+from labflow.llm.common import Scratch, ship_package, spread_sample
 from labflow.llm.vectors import matrix, rotation, usable
 
 SEED = 20240501
@@ -28,7 +28,7 @@ def fit(vectors, key="vec_id", vector="embedding", sample=SAMPLE):
     common = rows.groupBy(size.alias("d")).count().orderBy(F.desc("count"), "d").first()
     if common is None:
         return None
-    chosen = rows.where(size == common.d).orderBy(F.xxhash64(key), key).limit(sample).select(vector).collect()
+    chosen = spread_sample(rows.where(size == common.d), key, sample).select(vector).collect()
     return common.d, np.mean(np.array([r[0] for r in chosen], "f8"), axis=0)
 
 

@@ -7,7 +7,7 @@ import string
 
 from pyspark.sql import functions as F
 
-from labflow.llm.common import with_columns
+from labflow.llm.common import spread_sample, with_columns
 
 # The known forms, in the order in which spans with the same start are listed.
 ASSIGN = (
@@ -38,7 +38,7 @@ def labelled_samples(docs, text="text", key="doc_id", sample_docs=SAMPLE_DOCS, s
     Both numbers bound the sample whatever the size of the table.
     """
     spark = docs.sparkSession
-    chosen = docs.select(key).orderBy(F.xxhash64(key), key).limit(sample_docs).collect()
+    chosen = spread_sample(docs.select(key), key, sample_docs).collect()
     keys = [r[0] for r in chosen if r[0] is not None]
     words = (
         docs.where(F.col(key).isin(keys) if keys else F.lit(False))

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from labflow.llm.common import ship_package, slices, with_columns
+from labflow.llm.common import ship_package, slices, spread_sample, with_columns
 
 WINDOW, STRIDE = 48, 36
 WORD = re.compile(r"\w{1,32}")
@@ -366,13 +366,9 @@ def labelled_sample(docs, labels, rows=SAMPLE, chars=SAMPLE_CHARS, key="doc_id")
     Both parameters bound what comes to the driver: texts of more than ``chars`` characters are not trained on.
     """
     spark = docs.sparkSession
-    chosen = (
-        labels.where(F.col("toxic").isin(0, 1) & F.col(key).isNotNull() & ~held_out(F.col(key)))
-        .select(F.col(key).alias("_key"), F.col("toxic").cast("int").alias("_toxic"))
-        .orderBy(F.xxhash64("_key"), "_key", "_toxic")
-        .limit(rows)
-        .collect()
-    )
+    known = labels.where(F.col("toxic").isin(0, 1) & F.col(key).isNotNull() & ~held_out(F.col(key)))
+    known = known.select(F.col(key).alias("_key"), F.col("toxic").cast("int").alias("_toxic"))
+    chosen = spread_sample(known, "_key", rows).collect()
     if not chosen:
         return [], []
     # At most ``rows`` rows of two numbers.

@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labflow.llm.common import Scratch, ship_package
+from labflow.llm.common import Scratch, ship_package, spread_sample
 
 # Fixed values of the archive and frame formats.
 DICTIONARY_MAGIC = (0x184D2A5D).to_bytes(4, "little")
@@ -82,12 +82,8 @@ def train_dictionary(pages, size=DICTIONARY_BYTES, rows=SAMPLE_ROWS, chars=SAMPL
     The sample is bounded: at most ``rows`` records, of each at most ``chars`` characters. Too little text for a
     dictionary gives empty bytes: archives then have an empty dictionary frame.
     """
-    sample = (
-        pages.where("html <> ''")
-        .select(F.xxhash64("page_id").alias("h"), "page_id", "url", F.substring("html", 1, chars).alias("html"))
-        .orderBy("h", "page_id")
-        .limit(rows)
-    )
+    filled = pages.where("html <> ''").select("page_id", "url", F.substring("html", 1, chars).alias("html"))
+    sample = spread_sample(filled, "page_id", rows)
     records = [
         record(r.page_id, r.url, r.html.encode(), True, None, 0, "").replace(b"\0", b"") for r in sample.toLocalIterator()
     ]
