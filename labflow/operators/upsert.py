@@ -106,9 +106,12 @@ def upsert_counts(history, batch, new_partition="dedup"):
     """Inserted and updated samples per partition the batch touches.
 
     Updated means the id is on both sides, even with equal values. With ``new_partition="append"`` a new partition
-    counts its rows, not its ids.
+    counts its rows, not its ids. History of other partitions is left out before anything is shuffled; the list of
+    touched ones has one pair per calendar week (see ``MAX_PARTITIONS``).
     """
-    keys = _key_presence(history, batch, [*KEY, "sample_id"])
+    touched = touched_partitions(with_partition(batch.select("test_date")))
+    inside = with_partition(history).join(F.broadcast(touched), KEY, "left_semi")
+    keys = _key_presence(inside, batch, [*KEY, "sample_id"])
     per_partition = keys.groupBy(*KEY).agg(
         F.count_if((F.col("batch_rows") > 0) & (F.col("history_rows") == 0)).alias("ids_inserted"),
         F.count_if((F.col("batch_rows") > 0) & (F.col("history_rows") > 0)).alias("rows_updated"),
