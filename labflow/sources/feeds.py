@@ -1,14 +1,13 @@
 """CSV feeds read as text, with columns bound by header name.
 
 Spark binds CSV columns by position, so files whose headers differ in order would be mixed up silently. The first line
-of each file is read to group the files by header; every group is one scan with positional columns that are then
+of each file, read by tasks, groups the files by header; every group is one scan with positional columns that are then
 named, and the groups are united.
 """
 
 import csv
 import re
 from collections import defaultdict
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 from urllib.parse import unquote
@@ -19,10 +18,9 @@ from pyspark.sql import functions as F
 from labflow.functions.text import split_details
 from labflow.operators.delete import REQUEST_FIELDS
 from labflow.schema import COUNTERS, FIELDS, TECHNICAL, run_log, text_feed
-from labflow.sources.storage import Folder, first_line, has_files
+from labflow.sources.storage import Folder, has_files
 
 LISTING = "path string, length bigint, modificationTime timestamp"
-HEADER_READERS = 32
 SOURCE_PARTITION = "source_file="
 
 
@@ -110,23 +108,29 @@ def _header(line):
     return tuple(names)
 
 
-def _headers(spark, paths):
-    """Files by header, and files without one. Reads one buffer per file, many files at a time."""
-    groups, unreadable = defaultdict(list), []
-    with ThreadPoolExecutor(HEADER_READERS) as pool:
-        for path, line in zip(paths, pool.map(lambda p: first_line(spark, p), paths)):
-            if line:
-                groups[_header(line)].append(path)
-            else:
-                unreadable.append(path)
-    return groups, unreadable
-
-
 def _literal_path(path):
     """Keep a path that holds glob characters from being read as a pattern."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
+def _headers(spark, paths):
+    """Files by header, and files without one. Tasks read the files; one line of each comes back."""
+    groups = defaultdict(list)
+    if not paths:
+        return groups, []
+    lines = spark.read.text([_literal_path(p) for p in paths]).select(
+        "value",
+        _url_text(F.col("_metadata.file_path")).alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("seq"),
+    )
+    first = lines.filter("block = 0").groupBy("path").agg(F.min_by("value", "seq").alias("line"))
+    for r in first.filter("line <> ''").toLocalIterator():
+        groups[_header(r.line)].append(r.path)
+    readable = {p for files in groups.values() for p in files}
+    return groups, [p for p in paths if p not in readable]
+
+
 def _too_many_fields(line, width):
     """Whether a record Spark found malformed has more fields than the header; separators in quotes do not count."""
     bare = F.regexp_replace(F.regexp_replace(line, '"[^"]*"', ""), "[^,]", "")

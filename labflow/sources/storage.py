@@ -57,22 +57,6 @@ def has_files(spark, path):
     return any(not n.startswith(("_", ".")) for n in Folder(spark, path).names())
 
 
-def first_line(spark, path):
-    """First line of a text file without reading further; None for an empty file."""
-    folder = Folder(spark, path)
-    jvm = spark._jvm
-    stream = folder.fs.open(folder.path)
-    try:
-        text = jvm.org.apache.hadoop.io.Text()
-        reader = jvm.org.apache.hadoop.util.LineReader(stream)
-        consumed = reader.readLine(text)
-    finally:
-        stream.close()
-    if consumed == 0:
-        return None
-    return text.toString()
-
-
 def subfolders(folder, patterns):
     """Folders whose names match ``patterns``, one a level, with the names that lead to them."""
     if not patterns:

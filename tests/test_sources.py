@@ -46,7 +46,9 @@ def test_odd_files_and_names(spark, zones, put):
         ('q"x, y', "POS", None, "c[1]+%.csv"),
     ]
     listing = feeds.shown_files(feeds.list_files(spark, zones.landing))
-    assert rows(listing, "source_file") == [("c[1]+%.csv",), ("head only.csv",)]
+    shown = ["c[1]+%.csv", "head only.csv", "notes.txt", "zero.csv"]
+    assert rows(listing, "source_file") == [(name,) for name in shown]
+    assert {r.source_file: r.length for r in listing.collect()}["zero.csv"] == 0
     assert feeds.read_landing(spark, zones.landing + "/none").rows.count() == 0
 
 
