@@ -4,10 +4,23 @@ import os
 
 import pytest
 
-import __spark_entry__ as contract
+from labflow.plans.table_queries import QUERIES
+from labflow.plans.table_sql import SQL
 
 SF = "/root/testdata/sf0.001"
-JOBS = {"ingest_job", "ingest_log", "stream_job", "deletion_job", "deletion_log", "export_job"}
+JOBS = {
+    "ingest_job",
+    "ingest_log",
+    "ingest_append_job",
+    "lake_with_report",
+    "audit_lines",
+    "stream_job",
+    "deletion_job",
+    "deletion_log",
+    "deletion_rejects",
+    "deletion_files_kept",
+    "export_job",
+}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the given tables")
 
@@ -22,15 +35,15 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert QUERIES.keys() == SQL.keys()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries().keys() - JOBS))
+@pytest.mark.parametrize("name", sorted(QUERIES.keys() - JOBS))
 def test_query(spark, duck, name):
-    df = contract.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     columns = sorted(df.columns)
     got = [tuple(r[c] for c in columns) for r in df.collect()]
-    result = duck.execute(contract.oracle_sql()[name])
+    result = duck.execute(SQL[name])
     names = [d[0] for d in result.description]
     assert sorted(names) == columns
     want = [tuple(row[names.index(c)] for c in columns) for row in result.fetchall()]
