@@ -29,7 +29,8 @@ def op3_bpe_round_trip(spark, folder):
 def op7_binary_pieces(spark, folder):
     """Every document cut into sequences of power-of-two lengths."""
     vocabulary = tokens.vocabulary(spark, public_tokenizers.path(PACK_MODEL))
-    packed = tokens.pack(read_table(spark, folder, "documents").select("doc_id", "text"), vocabulary)
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    packed = tokens.pack(docs, vocabulary, pattern=public_tokenizers.PATTERN)
     return digest_of_pieces(packed)
 
 

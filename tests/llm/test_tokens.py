@@ -92,12 +92,13 @@ def test_counts_by_the_library(spark, docs, kind, name):
     assert {r.doc_id: r.n_tokens for r in got} == {i: expected(t or "") for i, t in enumerate(texts())}
 
 
-def test_packing(spark, docs):
+@pytest.mark.parametrize("pattern", [None, public_tokenizers.PATTERN])
+def test_packing(spark, docs, pattern):
     from tokenizers import Tokenizer
 
     path = public_tokenizers.path(queries_tokens.PACK_MODEL)
     model = Tokenizer.from_file(path)
-    got = tokens.pack(docs, tokens.vocabulary(spark, path), longest=64).collect()
+    got = tokens.pack(docs, tokens.vocabulary(spark, path), longest=64, pattern=pattern).collect()
     assert len({r.sequence_id for r in got}) == len(got)
     for i, t in enumerate(texts()):
         ids = model.encode(t or "", add_special_tokens=False).ids + [0]
@@ -107,6 +108,20 @@ def test_packing(spark, docs):
         assert all(r.length == 1 << r.bucket <= 64 and r.offset == 0 and r.doc_tokens == len(ids) for r in own)
 
 
+def test_merges_are_those_of_the_vocabulary():
+    from tokenizers import Tokenizer
+
+    with open(public_tokenizers.path(queries_tokens.PACK_MODEL), "rb") as f:
+        data = f.read()
+    model, merges = Tokenizer.from_buffer(data), tokens._merges(data, public_tokenizers.PATTERN)[0]
+    rng = random.Random(1)
+    letters = " \nabcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789àéîõüßñœ.,;:!?'\"()=/_+-<|>#$%&@{}"
+    words = ["".join(rng.choices(letters, k=rng.randrange(1, 60))) for _ in range(3000)]
+    assert all(tokens.LATIN.fullmatch(w) for w in words)
+    found = model.encode_batch(words, add_special_tokens=False)
+    assert [merges.encode_ordinary(w) for w in words] == [x.ids for x in found]
+
+
 def test_pieces_are_the_binary_digits():
     assert tokens.binary_pieces(2051, 1024) == [1024, 1024, 2, 1]
     assert tokens.binary_pieces(1, 1024) == [1]
