@@ -53,19 +53,20 @@ class Runs:
         flat = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass"), "u4").astype("u8")
         sizes = np.array([len(w) + 2 for w in words], "i8")
         self.starts = np.cumsum(sizes) - sizes
-        ends = np.repeat(self.starts + sizes, sizes)
-        place = np.arange(len(flat))
+        ends = np.repeat((self.starts + sizes).astype("i4"), sizes)
+        place = np.arange(len(flat), dtype="i4")
         with np.errstate(over="ignore"):
             power = np.multiply.accumulate(np.r_[np.uint64(1), np.full(34, _P)])
-            whole = flat * power[place - np.repeat(self.starts, sizes)]
-            self.word = (_scramble(np.add.reduceat(whole, self.starts)) % np.uint64(WORD_ROWS)).astype("i8")
+            whole = flat * power[place - np.repeat(self.starts.astype("i4"), sizes)]
+            self.word = (_scramble(np.add.reduceat(whole, self.starts)) % np.uint64(WORD_ROWS)).astype("i4")
+            del whole
             self.runs = []
             total = flat.copy()
             for n in range(2, max(RUNS) + 1):
                 total = total * _P
                 total[: max(len(flat) - n + 1, 0)] += flat[n - 1 :]
                 if n in RUNS:
-                    row = (_scramble(total + np.uint64(n)) % np.uint64(RUN_ROWS)).astype("i8")
+                    row = (_scramble(total + np.uint64(n)) % np.uint64(RUN_ROWS)).astype("i4")
                     self.runs.append((row, place + n <= ends))
         self.count = np.maximum(sum(np.add.reduceat(ok.astype("f4"), self.starts) for _, ok in self.runs), 1)
 
