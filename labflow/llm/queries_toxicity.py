@@ -4,8 +4,7 @@ from pyspark.sql import functions as F
 
 from labflow.llm import toxicity
 from labflow.llm.common import read_table
-
-THRESHOLD = 0.3
+from labflow.llm.toxicity import THRESHOLD
 
 
 def fitted(docs, spark, folder):

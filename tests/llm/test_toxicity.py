@@ -104,3 +104,42 @@ def test_one_label_or_none_and_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert queries_toxicity.op1_gated_network_toxicity(spark, str(tmp_path)).count() == 0
+
+
+def test_no_start_that_misses_the_goal_is_returned():
+    # Labels that follow nothing in the texts cannot be learnt.
+    texts, labels = [document(False, 40) for _ in range(300)], [int(RNG.random() < 0.5) for _ in range(300)]
+    with pytest.raises(ValueError, match="goal"):
+        toxicity.train(texts, labels, updates=20, tries=2)
+
+
+def test_starts_go_on_until_one_meets_the_goal(monkeypatch):
+    texts = [f"t{i} {'bad' if i % 2 else 'fine'}" for i in range(400)]
+    labels = [i % 2 for i in range(400)]
+    # Shares of the toxic texts that each start finds; the first one misses three tenths.
+    shares, begun = [0.7, 1.0, 1.0], []
+
+    def start(own, known, updates, seed):
+        begun.append(updates)
+        return {"found": shares[len(begun) - 1]}
+
+    def scores(model, own):
+        toxic = [t.endswith("bad") for t in own]
+        hits = round(model["found"] * sum(toxic))
+        return np.array([float(y and sum(toxic[: i + 1]) <= hits) for i, y in enumerate(toxic)])
+
+    monkeypatch.setattr(toxicity, "_start", start)
+    monkeypatch.setattr(toxicity, "score_texts", scores)
+    assert toxicity.train(texts, labels)["found"] == 1.0 and len(begun) == 2 and begun[1] > begun[0]
+
+
+def test_long_texts_are_in_the_sample(spark):
+    rows = [(i, "short " + str(i)) for i in range(20)] + [(100 + i, f"w{i} " * 5000) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    allowed = {t for i, t in rows if zlib.crc32(str(i).encode()) % 4 != 2}
+    texts, _ = toxicity.labelled_sample(docs, labels)
+    assert set(texts) == allowed
+    texts, _ = toxicity.labelled_sample(docs, labels, long_chars=45_000)
+    long = [t for t in texts if len(t) > toxicity.SAMPLE_CHARS]
+    assert set(texts) <= allowed and 2 <= len(long) and sum(map(len, long)) <= 45_000
