@@ -22,6 +22,7 @@ KINDS = ("assign", "access", "hex", "random")
 ASSIGN_HINT = r"(?i)(?:passw(?:or)?d|secret|token|api_?key)[\"']?\x20*[:=]"
 
 ALPHABET = string.ascii_letters + string.digits + "+/_-="
+SEPARATORS = "/_-=+"
 CANDIDATE = r"[A-Za-z0-9+/_=-]{%d,}"
 LEAST = 20
 THRESHOLD = 0.5  # nats a character
@@ -106,11 +107,15 @@ def train(samples, smoothing=SMOOTHING):
     ]
 
 
+def _ratios(table):
+    """The ratios as one literal that the optimizer turns into an array once."""
+    return F.split(F.lit(",".join(f"{x:.6g}" for x in table)), ",").cast("array<double>")
+
+
 def ratio(value, table):
     """Mean log-likelihood ratio of a string's characters (0 for an empty one)."""
     n = len(ALPHABET) + 1
-    # One literal that the optimizer turns into an array once.
-    ratios = F.split(F.lit(",".join(f"{x:.6g}" for x in table)), ",").cast("array<double>")
+    ratios = _ratios(table)
 
     def step(state, char):
         at = F.instr(F.lit(ALPHABET), char)
@@ -120,6 +125,52 @@ def ratio(value, table):
     return F.aggregate(F.split(value, ""), start, step, lambda state: state.s / F.greatest(F.length(value), F.lit(1)))
 
 
+def stretches(value, table, least=LEAST, threshold=THRESHOLD):
+    """Places (array<struct<from, to>>) of the stretches of a string that look random, widened to its separators.
+
+    A stretch begins where the running sum of the ratios leaves 0 and ends at its highest value before the sum is back
+    at 0 or has lost what the least secret is worth. It counts if it has ``least`` or more characters and a mean ratio
+    of at least ``threshold``.
+    """
+    n = len(ALPHABET) + 1
+    ratios, drop = _ratios(table), F.lit(float(least * threshold))
+    pairs = F.arrays_zip(F.split(F.concat(F.lit(" "), value), "").alias("p"), F.split(value, "").alias("c"))
+    gains = F.transform(
+        F.filter(pairs, lambda x: x.c.isNotNull()),
+        lambda x: F.get(ratios, F.instr(F.lit(ALPHABET), x.p) * n + F.instr(F.lit(ALPHABET), x.c)),
+    )
+    none = F.expr("cast(array() as array<struct<from:int,to:int>>)")
+
+    def with_last(state):
+        size = state.to - state["from"]
+        good = (size >= least) & (state.top >= size * threshold)
+        return F.when(good, F.array_append(state.found, F.struct(state["from"], state.to))).otherwise(state.found)
+
+    def next_state(at, total, top, start, to, found):
+        return F.struct(
+            at.alias("at"), total.alias("s"), top.alias("top"), start.alias("from"), to.alias("to"), found.alias("found")
+        )
+
+    def step(state, gain):
+        total, at, zero = state.s + gain, state.at + 1, F.lit(0.0)
+        return (
+            F.when((total <= 0) | (state.top - total > drop), next_state(at, zero, zero, at, at, with_last(state)))
+            .when(total > state.top, next_state(at, total, total, state["from"], at, state.found))
+            .otherwise(next_state(at, total, state.top, state["from"], state.to, state.found))
+        )
+
+    begin = next_state(F.lit(0), F.lit(0.0), F.lit(0.0), F.lit(0), F.lit(0), none)
+    found = F.aggregate(gains, begin, step, with_last)
+    flat = F.translate(value, SEPARATORS, SEPARATORS[0] * len(SEPARATORS))
+
+    def widened(x):
+        head = F.substring_index(F.substring(flat, F.lit(1), x["from"]), SEPARATORS[0], -1)
+        tail = F.substring_index(F.substring(flat, x.to + 1, F.length(flat)), SEPARATORS[0], 1)
+        return F.struct((x["from"] - F.length(head)).alias("from"), (x.to + F.length(tail)).alias("to"))
+
+    return F.array_distinct(F.transform(found, widened))
+
+
 def _spans(text, pattern, matches, kind, keep=None):
     """Start, rank, kind and end of the matches: their places follow from what lies between them."""
     between = F.split(text, pattern, -1)
@@ -144,9 +195,10 @@ def scan(docs, table, text="text", out="spans", least=LEAST, threshold=THRESHOLD
     """Add ``out``: array<struct<start, rank, kind, end, value>>, by start and then kind, of all secrets of a text.
 
     Places are in code points from 0, ends exclusive. Kinds assign, access and hex are the matches of their patterns,
-    leftmost and non-overlapping per kind. Kind random: strings of ``least`` or more characters that touch none of
-    them and whose mean log-likelihood ratio by ``table`` is at least ``threshold``. A null text counts as empty and has
-    no spans. A column of that name in the input gives way.
+    leftmost and non-overlapping per kind. Kind random: what they leave of a run of characters of ``ALPHABET``, in
+    strings of ``least`` or more characters: whole if the mean log-likelihood ratio by ``table`` is at least
+    ``threshold``, else its stretches that are. A null text counts as empty and has no spans. A column of that name in
+    the input gives way.
     """
     own = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     none = F.expr("cast(array() as array<string>)")
@@ -173,18 +225,52 @@ def scan(docs, table, text="text", out="spans", least=LEAST, threshold=THRESHOLD
                 _spans(own, ACCESS, F.col("_access"), "access"),
                 _spans(own, HEX, F.col("_hex"), "hex"),
             ),
-            # Their places are worked out only where a candidate looks random.
-            "_random": F.when(
-                F.exists("_random", lambda x: ratio(x, table) >= threshold), F.col("_random")
-            ).otherwise(none),
         },
     )
-    free = lambda x: ~F.exists("_base", lambda b: (b.start < x.end) & (x.start < b.end))
-    random = _spans(
-        own, candidate, F.col("_random"), "random", lambda x: free(x) & (ratio(x.value, table) >= threshold)
-    )
-    found = with_columns(with_base, {out: F.array_sort(F.concat(F.col("_base"), random))})
-    return found.drop("_assign", "_access", "_hex", "_random", "_base")
+    whole = lambda x: ratio(x, table) >= threshold
+    places = lambda x: stretches(x, table, least, threshold)
+    # Their places are worked out only where a candidate, or what a base span may leave of it, looks random.
+    looks = F.exists("_random", lambda x: whole(x) | (F.size(places(x)) > 0))
+    with_runs = with_columns(with_base, {"_random": F.when((F.size("_base") > 0) | looks, F.col("_random")).otherwise(none)})
+    empty = F.expr("cast(array() as array<struct<start:int,end:int,value:string>>)")
+
+    def piece(run, start, end):
+        value = F.substring(run.value, start - run.start + 1, end - start)
+        return F.array(F.struct(start.alias("start"), end.alias("end"), value.alias("value")))
+
+    def left(run):
+        """What base spans leave of a run."""
+
+        def cut(state, b):
+            outside = (b.end <= run.start) | (b.start >= run.end)
+            more = F.concat(state.found, F.when(b.start > state.at, piece(run, state.at, b.start)).otherwise(empty))
+            cut_off = F.struct(F.greatest(state.at, b.end).alias("at"), more.alias("found"))
+            return F.when(outside, state).otherwise(cut_off)
+
+        begin = F.struct(run.start.alias("at"), empty.alias("found"))
+        last = lambda s: F.when(s.at < run.end, F.concat(s.found, piece(run, s.at, run.end))).otherwise(s.found)
+        return F.aggregate(F.array_sort("_base"), begin, cut, last)
+
+    def random_spans(x):
+        def span(at, to):
+            value = F.substring(x.value, at + 1, to - at)
+            return F.struct(
+                (x.start + at).alias("start"),
+                F.lit(KINDS.index("random")).alias("rank"),
+                F.lit("random").alias("kind"),
+                (x.start + to).alias("end"),
+                value.alias("value"),
+            )
+
+        all_of_it = F.array(span(F.lit(0), F.length(x.value)))
+        return F.when(whole(x.value), all_of_it).otherwise(F.transform(places(x.value), lambda y: span(y["from"], y.to)))
+
+    with_runs = with_columns(with_runs, {"_runs": _spans(own, candidate, F.col("_random"), "random")})
+    parts = F.filter(F.flatten(F.transform("_runs", left)), lambda x: F.length(x.value) >= least)
+    with_parts = with_columns(with_runs, {"_runs": parts})
+    random = F.flatten(F.transform("_runs", random_spans))
+    found = with_columns(with_parts, {out: F.array_sort(F.concat(F.col("_base"), random))})
+    return found.drop("_assign", "_access", "_hex", "_random", "_base", "_runs")
 
 
 def spans_text(spans, kinds=KINDS):

@@ -85,6 +85,30 @@ def test_models_tell_new_strings_apart(spark, docs, table):
     assert sum(r.random and r.hit for r in got) >= 295 and sum(not r.random and r.hit for r in got) <= 3
 
 
+def test_secrets_beside_others_and_at_the_end_of_names(spark, table):
+    rng = random.Random(6)
+    path = "settings/application/index/request/header/user_name/secondary/settings/application/index_value"
+    token = "".join(rng.choices(string.ascii_letters + string.digits, k=40))
+    second = "".join(rng.choices(string.ascii_letters + string.digits, k=40))
+    access = "AKIA" + "".join(rng.choices(string.ascii_uppercase + string.digits, k=16))
+    rows = [
+        (0, f"key {access}/{token} end", {token}),
+        (1, f"see {path}/{token} end", {token}),
+        (2, f"{path}_{token}/{path}={second}", {token, second}),
+        (3, f"{token}/{access}/{second}", {token, second}),
+        (4, f"{path}/{path}-{path}", set()),
+    ]
+    found = secrets.scan(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), table)
+    got = {r.doc_id: r for r in found.withColumn("out", secrets.redact(found.text, found.spans)).collect()}
+    for i, text, want in rows:
+        spans = [s for s in got[i].spans if s.kind == "random"]
+        assert len(spans) == len(want), (i, spans)
+        assert all(text[s.start : s.end] == s.value for s in spans)
+        assert all(any(t in s.value for s in spans) and t not in got[i].out for t in want)
+        # At most separators and little else of what stands beside it.
+        assert all(len(s.value) <= 60 for s in spans), (i, spans)
+
+
 def test_redaction(docs, table):
     found = secrets.scan(docs, table)
     got = {r.doc_id: r for r in found.withColumn("out", secrets.redact(found.text, found.spans)).collect()}
