@@ -34,7 +34,8 @@ def op7_binary_pieces(spark, folder):
     return digest_of_pieces(packed)
 
 
-def digest_of_pieces(packed):
+def digest_of_pieces(packed, *more):
+    """The pieces with a digest for their ids, and ``more`` of their columns."""
     return packed.select(
         "doc_id",
         "start",
@@ -44,6 +45,7 @@ def digest_of_pieces(packed):
         "sequence_id",
         "offset",
         "bucket",
+        *more,
     )
 
 

@@ -38,6 +38,7 @@ def redact_secrets(spark, docs, folder):
 
 
 def pack_sequences(spark, docs, folder):
-    """Pieces of power-of-two lengths, one row each."""
+    """Pieces of power-of-two lengths, one row each, with their token ids (little-endian, 32 bits each)."""
     vocabulary = tokens.vocabulary(spark, public_tokenizers.path(PACK_MODEL))
-    return digest_of_pieces(tokens.pack(docs.select("doc_id", "text"), vocabulary, pattern=public_tokenizers.PATTERN))
+    packed = tokens.pack(docs.select("doc_id", "text"), vocabulary, pattern=public_tokenizers.PATTERN)
+    return digest_of_pieces(packed, "ids")

@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import pytest
 
@@ -59,6 +60,13 @@ def test_run(spark, folder):
     assert got.where("doc_id = 1001").count() == 0 and got.where("doc_id = 1000").count() > 0
 
 
+def test_sequences_hold_their_ids(spark):
+    docs = spark.createDataFrame([(1, "The quick brown fox jumps."), (2, ""), (3, None)], "doc_id long, text string")
+    got = corpus_pipeline.STAGES[-1][1](spark, docs, None).collect()
+    assert {r.doc_id for r in got} == {1, 2, 3}
+    assert all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in got)
+
+
 def test_no_documents(spark, folder, tmp_path):
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
