@@ -1,7 +1,8 @@
 """Stages of the corpus pipeline: each takes (spark, docs, folder) and returns a frame.
 
 All but the last return the columns of the documents they are given. Rows with a null text or doc_id pass through every
-stage; rows that share a doc_id stay or go together.
+stage; of rows with the same doc_id and text one is left after near-dedup, rows that share only a doc_id stay or go
+together there.
 """
 
 import public_tokenizers
@@ -20,10 +21,22 @@ def drop_toxic(spark, docs, folder):
 
 
 def drop_near_copies(spark, docs, folder):
-    """One document of each class of near-duplicates, that with the smallest doc_id."""
+    """One document of each class of near-duplicates, that with the smallest doc_id, and one row of each document."""
     found = bagminhash.near_duplicates(docs, LEAST_SIMILARITY)
     copies = found.where(~F.col("kept")).select(F.col("doc_id").alias("_copy")).distinct()
-    return docs.join(copies, F.col("doc_id") == F.col("_copy"), "left_anti")
+    kept = docs.join(copies, F.col("doc_id") == F.col("_copy"), "left_anti")
+    whole = F.col("doc_id").isNotNull() & F.col("text").isNotNull()
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    # Only rows whose doc_id comes more than once are compared; the others are not shuffled with their texts.
+    repeated = kept.where(whole).groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_repeated"))
+    same = F.col("doc_id") == F.col("_repeated")
+    single = kept.join(repeated, same & whole, "left_anti")
+    # A minimum is taken before the shuffle as well, and does not depend on how rows are dealt out.
+    values = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "doc_id"])
+    rest = kept.where(whole).join(repeated, same, "left_semi")
+    one = rest.groupBy("doc_id", F.sha2(F.col("text").cast("binary"), 256)).agg(F.min(values).alias("_row"))
+    one = one.select(*[F.col("doc_id") if c == "doc_id" else F.col(f"_row.`{c}`") for c in docs.columns])
+    return single.select(*own).unionByName(one)
 
 
 def redact_secrets(spark, docs, folder):

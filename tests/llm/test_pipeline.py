@@ -67,6 +67,18 @@ def test_sequences_hold_their_ids(spark):
     assert all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in got)
 
 
+def test_repeated_rows_leave_one(spark):
+    text, other = prose(40), prose(40)
+    rows = [(1, text, "en"), (1, text, "en"), (1, text, "de"), (2, other, "en"), (3, "", "a"), (3, "", "b")]
+    rows += [(None, text, "en"), (None, text, "en"), (4, None, "en"), (4, None, "en"), (5, prose(40), "en"), (5, prose(50), "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    stage = dict(corpus_pipeline.STAGES)["minhash_near_dedup"]
+    got = stage(spark, docs, None)
+    assert got.columns == docs.columns
+    ids = [r.doc_id for r in got.collect()]
+    assert {i: ids.count(i) for i in set(ids)} == {1: 1, 2: 1, 3: 1, None: 2, 4: 2, 5: 2}
+
+
 def test_no_documents(spark, folder, tmp_path):
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
