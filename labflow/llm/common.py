@@ -46,6 +46,10 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path), path
 
+    def clear(self):
+        """Remove all tables; frames read from them can no longer be used."""
+        self.drop(self.root)
+
     def drop(self, path):
         target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -2,6 +2,7 @@
 
 from labflow.llm import (
     queries_documents,
+    queries_merkle,
     queries_secrets,
     queries_sharding,
     queries_tokens,
@@ -21,6 +22,7 @@ QUERIES = {
     "op8_byte_shards": queries_sharding.op8_byte_shards,
     "op9_token_counts": queries_tokens.op9_token_counts,
     "op10_dictionary_archives": queries_warc.op10_dictionary_archives,
+    "op11_interval_manifest": queries_merkle.op11_interval_manifest,
 }
 
 SQL = {
@@ -28,4 +30,5 @@ SQL = {
     "op6_cap_filter_duplicates": queries_vectors.OP6_SQL,
     "op8_byte_shards": queries_sharding.OP8_SQL,
     "op10_dictionary_archives": queries_warc.OP10_SQL,
+    "op11_interval_manifest": queries_merkle.OP11_SQL,
 }
