@@ -69,14 +69,14 @@ over_levels AS (
     list_transform(range((len(l) + 1) // 2), lambda i: sha256(l[2 * i + 1] || coalesce(l[2 * i + 2], '')))
   FROM over_levels WHERE len(l) > 1),
 steps AS (
-  SELECT doc_id, nth AS own, level, l, nth >> level AS at
+  SELECT doc_id, nth AS own, level, l, nth >> level AS place
   FROM leaves JOIN levels ON leaves.lang IS NOT DISTINCT FROM levels.lang AND len(l) > 1
   UNION ALL
   SELECT doc_id, leaves.nth, 100 + level, l, subroots.nth >> level
   FROM leaves JOIN subroots ON leaves.lang IS NOT DISTINCT FROM subroots.lang JOIN over_levels ON len(l) > 1),
 paths AS (
-  SELECT doc_id, own, list({{'b': CASE WHEN at & 1 = 1 THEN l[at] ELSE '' END, 'd': '',
-    'a': CASE WHEN at & 1 = 0 THEN coalesce(l[at + 2], '') ELSE '' END}} ORDER BY level) AS path
+  SELECT doc_id, own, list({{'b': CASE WHEN place & 1 = 1 THEN l[place] ELSE '' END, 'd': '',
+    'a': CASE WHEN place & 1 = 0 THEN coalesce(l[place + 2], '') ELSE '' END}} ORDER BY level) AS path
   FROM steps GROUP BY doc_id, own),
 folded AS (
   SELECT leaves.doc_id, leaf, subroot, (SELECT l[1] FROM over_levels WHERE len(l) = 1) AS root,
