@@ -3,12 +3,14 @@
 from labflow.llm import (
     queries_documents,
     queries_merkle,
+    queries_pii,
     queries_secrets,
     queries_sharding,
     queries_tokens,
     queries_toxicity,
     queries_vectors,
     queries_warc,
+    queries_whitening,
 )
 
 QUERIES = {
@@ -23,6 +25,8 @@ QUERIES = {
     "op9_token_counts": queries_tokens.op9_token_counts,
     "op10_dictionary_archives": queries_warc.op10_dictionary_archives,
     "op11_interval_manifest": queries_merkle.op11_interval_manifest,
+    "op12_boosted_private_spans": queries_pii.op12_boosted_private_spans,
+    "op13_polarised_whitening": queries_whitening.op13_polarised_whitening,
 }
 
 SQL = {
