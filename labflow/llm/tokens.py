@@ -20,6 +20,13 @@ SPACE = "\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SAFE_PIECE = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 SAFE_CUT = re.compile(f"(?<=[^{SPACE}])[{SPACE}]")
 
+# Runs of white space from this length on go round the splitting pattern, whose engine looks back over a run by
+# recursion and breaks off at about a million characters.
+LONG_RUN = 1 << 16
+SPACE_RUN = re.compile(f"[{SPACE}]{{{LONG_RUN},}}")
+# A pattern that takes any text whole.
+WHOLE = r"(?s:.+)"
+
 PIECE_CHARS = 1 << 16
 SLICE_CHARS = 4 << 20
 CACHED = 200_000
@@ -72,10 +79,29 @@ def safe_pieces(text, size=PIECE_CHARS):
     yield text[start:]
 
 
+def _ordinary(text, encoding, whole):
+    """Lists of ids that make up those of the whole text, whatever its length.
+
+    The pattern takes a run of white space as one match, up to its last character if something follows: that character
+    belongs to what follows. ``whole`` gives the engine that takes a text for one match.
+    """
+    for piece in safe_pieces(text):
+        start = 0
+        for run in SPACE_RUN.finditer(piece) if len(piece) >= LONG_RUN else ():
+            end = run.end() - (run.end() < len(piece))
+            if run.start() > start:
+                yield encoding.encode_ordinary(piece[start : run.start()])
+            yield whole().encode_ordinary(piece[run.start() : end])
+            start = end
+        if start < len(piece):
+            yield encoding.encode_ordinary(piece[start:])
+
+
 def encode(docs, vocabulary, pattern, text="text", out="ids"):
     """Add ``out``: the ids of each whole text as array<int>, special tokens' strings being ordinary text.
 
-    A null text counts as empty and an empty text has no ids. A column already called ``out`` is replaced.
+    A null text counts as empty and an empty text has no ids. Very long texts and runs of any character are encoded whole.
+    Repeated rows each have their result. A column already called ``out`` is replaced.
     """
     ship_package(docs.sparkSession)
 
@@ -83,13 +109,14 @@ def encode(docs, vocabulary, pattern, text="text", out="ids"):
     def ids(batch: pa.Array) -> pa.Array:
         name, data = vocabulary.value
         encoding = _once(("encode", name, pattern), lambda: _tiktoken(name, data, pattern))
+        whole = lambda: _once(("encode", name, WHOLE), lambda: _tiktoken(name, data, WHOLE))
         texts, found = _texts(batch), []
         for first, last in slices([len(t) for t in texts], SLICE_CHARS):
             rows = []
             for t in texts[first:last]:
                 own = []
-                for piece in safe_pieces(t):
-                    own += encoding.encode_ordinary(piece)
+                for ids in _ordinary(t, encoding, whole):
+                    own += ids
                 rows.append(own)
             found.append(pa.array(rows, pa.list_(pa.int32())))
         return pa.concat_arrays(found) if found else pa.array([], pa.list_(pa.int32()))
@@ -226,6 +253,7 @@ def pack(docs, vocabulary, longest=1024, end_id=0, text="text", pattern=None):
         name, data = vocabulary.value
         model = _once(("pack", name), lambda: Tokenizer.from_buffer(data))
         merges = pattern and _once(("merges", name, pattern), lambda: _merges(data, pattern))
+        whole = lambda: _once(("merges", name, WHOLE), lambda: _merges(data, WHOLE)[0])
         known = _once(("packed", name), lambda: BoundedCache(CACHED))
         kind = pa.list_(
             pa.struct([("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64())])
@@ -234,7 +262,7 @@ def pack(docs, vocabulary, longest=1024, end_id=0, text="text", pattern=None):
         texts = _texts(batch)
         rows = []
         for first, last in slices([len(t) for t in texts], SLICE_CHARS):
-            for raw in _encoded(texts[first:last], model, merges, known):
+            for raw in _encoded(texts[first:last], model, merges, whole, known):
                 raw += end
                 n, start, own = len(raw) // 4, 0, []
                 for length in binary_pieces(n, longest):
@@ -255,14 +283,14 @@ def pack(docs, vocabulary, longest=1024, end_id=0, text="text", pattern=None):
     )
 
 
-def _encoded(texts, model, merges, known):
+def _encoded(texts, model, merges, whole, known):
     """Ids of each text as little-endian 32-bit words (the machine's own order is taken to be that)."""
     found = [None] * len(texts)
     if merges:
         engine, special = merges
         for i, t in enumerate(texts):
             if LATIN.fullmatch(t) and not any(x in t for x in special):
-                found[i] = b"".join(array("I", engine.encode_ordinary(piece)).tobytes() for piece in safe_pieces(t))
+                found[i] = b"".join(array("I", ids).tobytes() for ids in _ordinary(t, engine, whole))
     parts = {i: SAFE_PIECE.findall(texts[i]) for i, x in enumerate(found) if x is None}
     words = set().union(*parts.values())
     new = words - known.keys()

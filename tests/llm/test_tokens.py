@@ -58,6 +58,75 @@ def test_round_trip_by_the_library(spark, docs):
         assert bytes(r.decoded) == (r.text or "").encode()
 
 
+def merged(data, ranks):
+    """Byte pair merges of one match by their definition, lowest rank and leftmost first, with a heap."""
+    import heapq
+
+    parts, after = [data[i : i + 1] for i in range(len(data))], list(range(1, len(data) + 1))
+    before, alive = list(range(-1, len(data) - 1)), [True] * len(data)
+    heap = [(ranks[data[i : i + 2]], i, data[i : i + 2]) for i in range(len(data) - 1) if data[i : i + 2] in ranks]
+    heapq.heapify(heap)
+    while heap:
+        _, i, both = heapq.heappop(heap)
+        j = after[i]
+        if not alive[i] or j >= len(data) or parts[i] + parts[j] != both:
+            continue
+        parts[i], alive[j], after[i] = both, False, after[j]
+        if after[j] < len(data):
+            before[after[j]] = i
+        for a in (before[i], i):
+            if a >= 0 and after[a] < len(data) and parts[a] + parts[after[a]] in ranks:
+                pair = parts[a] + parts[after[a]]
+                heapq.heappush(heap, (ranks[pair], a, pair))
+    return [ranks[p] for p, ok in zip(parts, alive) if ok]
+
+
+SPACES = {"spaces": " ", "lines": "\n", "mixed": " \n\t\r\n  \u3000"}
+
+
+@pytest.mark.parametrize("kind", list(SPACES))
+def test_long_runs_of_white_space(spark, kind):
+    """By the definition of the merges, and, for packing and counting, by the tokenizers library."""
+    from tokenizers import Tokenizer
+
+    unit = SPACES[kind]
+    run = lambda n: unit * (n // len(unit))
+    texts = [run(1_000_000), "a" + run(1_200_000) + "word b", run(90_000) + "x" + run(70_000) + "9" + run(1 << 16)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    vocabulary = tokens.vocabulary(spark, public_tokenizers.path(queries_tokens.ROUND_TRIP_RANKS))
+    encoding = tokens._tiktoken("own", vocabulary.value[1], public_tokenizers.PATTERN)
+    got = {r.doc_id: r for r in tokens.decode(tokens.encode(docs, vocabulary, public_tokenizers.PATTERN), vocabulary).collect()}
+    ranks = encoding._mergeable_ranks
+    assert got[0].ids == merged(texts[0].encode(), ranks)
+    tail = texts[1][len(texts[1]) - len("word b") - 1 :]
+    expected = encoding.encode_ordinary("a") + merged(texts[1][1 : -len(tail)].encode(), ranks) + encoding.encode_ordinary(tail)
+    assert got[1].ids == expected
+    assert got[2].ids == encoding.encode_ordinary(texts[2])
+    assert all(bytes(got[i].decoded) == t.encode() for i, t in enumerate(texts))
+
+    path = public_tokenizers.path(queries_tokens.PACK_MODEL)
+    model = Tokenizer.from_file(path)
+    library = [model.encode(t, add_special_tokens=False).ids + [0] for t in texts]
+    packed = tokens.pack(docs, tokens.vocabulary(spark, path), pattern=public_tokenizers.PATTERN)
+    packed = packed.select("doc_id", "start", "ids").collect()
+    for i, ids in enumerate(library):
+        own = sorted((r for r in packed if r.doc_id == i), key=lambda r: r.start)
+        assert np.concatenate([np.frombuffer(r.ids, "<u4") for r in own]).tolist() == ids
+    counted = tokens.count_tokens(docs, tokens.vocabulary(spark, path), "tokenizers").collect()
+    assert {r.doc_id: r.n_tokens + 1 for r in counted} == {i: len(ids) for i, ids in enumerate(library)}
+
+
+def test_ten_million_spaces(spark):
+    docs = spark.createDataFrame([(0, "a" + " " * 10_000_000 + "b")], "doc_id long, text string")
+    vocabulary = tokens.vocabulary(spark, public_tokenizers.path(queries_tokens.ROUND_TRIP_RANKS))
+    r = tokens.decode(tokens.encode(docs, vocabulary, public_tokenizers.PATTERN), vocabulary).selectExpr("length(decoded) n").first()
+    assert r.n == 10_000_002
+    path = public_tokenizers.path(queries_tokens.PACK_MODEL)
+    packed = tokens.pack(docs, tokens.vocabulary(spark, path), pattern=public_tokenizers.PATTERN)
+    last = packed.selectExpr("max(doc_tokens) n", "sum(length) m").first()
+    assert last.n == last.m == tokens.count_tokens(docs, tokens.vocabulary(spark, path), "tokenizers").first().n_tokens + 1
+
+
 def test_pieces_of_long_texts_change_no_id(spark):
     vocabulary = tokens.vocabulary(spark, public_tokenizers.path(queries_tokens.ROUND_TRIP_RANKS))
     encoding = tokens._tiktoken("own", vocabulary.value[1], public_tokenizers.PATTERN)
