@@ -7,6 +7,7 @@ import string
 
 from pyspark.sql import functions as F
 
+from labflow.llm import spans
 from labflow.llm.common import spread_sample, with_columns
 
 # The known forms, in the order in which spans with the same start are listed.
@@ -171,24 +172,14 @@ def stretches(value, table, least=LEAST, threshold=THRESHOLD):
     return F.array_distinct(F.transform(found, widened))
 
 
-def _spans(text, pattern, matches, kind, keep=None):
-    """Start, rank, kind and end of the matches: their places follow from what lies between them."""
-    between = F.split(text, pattern, -1)
+def _of_kind(kind, found):
     rank = KINDS.index(kind)
-    empty = F.expr("cast(array() as array<struct<start:int,rank:int,kind:string,end:int,value:string>>)")
-
-    def step(state, x):
-        start = state.at + F.length(x["between"])
-        end = start + F.length(x["match"])
-        span = F.struct(
-            start.alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), end.alias("end"), x["match"].alias("value")
-        )
-        return F.struct(end.alias("at"), F.array_append(state.spans, span).alias("spans"))
-
-    zipped = F.arrays_zip(F.slice(between, 1, F.size(matches)).alias("between"), matches.alias("match"))
-    found = F.aggregate(zipped, F.struct(F.lit(0).alias("at"), empty.alias("spans")), step, lambda s: s.spans)
-    found = F.filter(found, keep) if keep else found
-    return F.when(F.size(matches) > 0, found).otherwise(empty)
+    return F.transform(
+        found,
+        lambda x: F.struct(
+            x.start.alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), x.end.alias("end"), x.value.alias("value")
+        ),
+    )
 
 
 def scan(docs, table, text="text", out="spans", least=LEAST, threshold=THRESHOLD):
@@ -197,34 +188,22 @@ def scan(docs, table, text="text", out="spans", least=LEAST, threshold=THRESHOLD
     Places are in code points from 0, ends exclusive. Kinds assign, access and hex are the matches of their patterns,
     leftmost and non-overlapping per kind. Kind random: what they leave of a run of characters of ``ALPHABET``, in
     strings of ``least`` or more characters: whole if the mean log-likelihood ratio by ``table`` is at least
-    ``threshold``, else its stretches that are. A null text counts as empty and has no spans. A column of that name in
-    the input gives way.
+    ``threshold``, else its stretches that are. A null text counts as empty and has no spans. Repeated rows each have
+    their result. A column of that name in the input gives way. Time grows with the text and the number of its secrets.
     """
     own = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     none = F.expr("cast(array() as array<string>)")
-
-    def all_of(pattern, hint):
-        return F.when(hint, F.regexp_extract_all(own, F.lit(pattern), F.lit(0))).otherwise(none)
-
     candidate = CANDIDATE % least
-    with_matches = with_columns(
-        docs,
-        {
-            "_assign": all_of(ASSIGN, own.rlike(ASSIGN_HINT)),
-            "_access": all_of(ACCESS, own.contains("AKIA")),
-            "_hex": all_of(HEX, own.rlike(HEX)),
-            "_random": all_of(candidate, F.lit(True)),
-        },
-    )
     long_enough = lambda x: F.length(F.regexp_extract(x.value, ASSIGN, 2)) >= ASSIGN_LENGTH
     with_base = with_columns(
-        with_matches,
+        docs,
         {
             "_base": F.concat(
-                _spans(own, ASSIGN, F.col("_assign"), "assign", long_enough),
-                _spans(own, ACCESS, F.col("_access"), "access"),
-                _spans(own, HEX, F.col("_hex"), "hex"),
+                _of_kind("assign", F.filter(spans.places(own, ASSIGN, own.rlike(ASSIGN_HINT)), long_enough)),
+                _of_kind("access", spans.places(own, ACCESS, own.contains("AKIA"))),
+                _of_kind("hex", spans.places(own, HEX, own.rlike(HEX))),
             ),
+            "_random": spans.matches(own, candidate),
         },
     )
     whole = lambda x: ratio(x, table) >= threshold
@@ -232,61 +211,29 @@ def scan(docs, table, text="text", out="spans", least=LEAST, threshold=THRESHOLD
     # Their places are worked out only where a candidate, or what a base span may leave of it, looks random.
     looks = F.exists("_random", lambda x: whole(x) | (F.size(places(x)) > 0))
     with_runs = with_columns(with_base, {"_random": F.when((F.size("_base") > 0) | looks, F.col("_random")).otherwise(none)})
-    empty = F.expr("cast(array() as array<struct<start:int,end:int,value:string>>)")
-
-    def piece(run, start, end):
-        value = F.substring(run.value, start - run.start + 1, end - start)
-        return F.array(F.struct(start.alias("start"), end.alias("end"), value.alias("value")))
-
-    def left(run):
-        """What base spans leave of a run."""
-
-        def cut(state, b):
-            outside = (b.end <= run.start) | (b.start >= run.end)
-            more = F.concat(state.found, F.when(b.start > state.at, piece(run, state.at, b.start)).otherwise(empty))
-            cut_off = F.struct(F.greatest(state.at, b.end).alias("at"), more.alias("found"))
-            return F.when(outside, state).otherwise(cut_off)
-
-        begin = F.struct(run.start.alias("at"), empty.alias("found"))
-        last = lambda s: F.when(s.at < run.end, F.concat(s.found, piece(run, s.at, run.end))).otherwise(s.found)
-        return F.aggregate(F.array_sort("_base"), begin, cut, last)
+    with_runs = with_columns(with_runs, {"_runs": spans.placed(own, candidate, F.col("_random"))})
 
     def random_spans(x):
         def span(at, to):
             value = F.substring(x.value, at + 1, to - at)
-            return F.struct(
-                (x.start + at).alias("start"),
-                F.lit(KINDS.index("random")).alias("rank"),
-                F.lit("random").alias("kind"),
-                (x.start + to).alias("end"),
-                value.alias("value"),
-            )
+            return F.struct((x.start + at).alias("start"), (x.start + to).alias("end"), value.alias("value"))
 
         all_of_it = F.array(span(F.lit(0), F.length(x.value)))
         return F.when(whole(x.value), all_of_it).otherwise(F.transform(places(x.value), lambda y: span(y["from"], y.to)))
 
-    with_runs = with_columns(with_runs, {"_runs": _spans(own, candidate, F.col("_random"), "random")})
-    parts = F.filter(F.flatten(F.transform("_runs", left)), lambda x: F.length(x.value) >= least)
-    with_parts = with_columns(with_runs, {"_runs": parts})
-    random = F.flatten(F.transform("_runs", random_spans))
+    left = F.filter(spans.cut(F.col("_runs"), F.col("_base")), lambda x: F.length(x.value) >= least)
+    with_parts = with_columns(with_runs, {"_runs": F.when(F.size("_runs") > 0, left).otherwise(F.expr("cast(array() as array<struct<start:bigint,end:bigint,value:string>>)"))})
+    random = _of_kind("random", F.flatten(F.transform("_runs", random_spans)))
     found = with_columns(with_parts, {out: F.array_sort(F.concat(F.col("_base"), random))})
-    return found.drop("_assign", "_access", "_hex", "_random", "_base", "_runs")
+    return found.drop("_random", "_base", "_runs")
 
 
-def spans_text(spans, kinds=KINDS):
+def spans_text(found, kinds=KINDS):
     """Spans of some kinds as ``kind:start:end``, joined by commas."""
-    own = F.filter(spans, lambda x: x.kind.isin(list(kinds)))
+    own = F.filter(found, lambda x: x.kind.isin(list(kinds)))
     return F.array_join(F.transform(own, lambda x: F.concat_ws(":", x.kind, x.start, x.end)), ",")
 
 
-def redact(text, spans, mark="[SECRET]"):
+def redact(text, found, mark="[SECRET]"):
     """The text with every stretch that spans cover replaced by one mark; null stays null."""
-
-    def step(state, x):
-        before = F.substring(text, state.at + 1, F.greatest(x.start - state.at, F.lit(0)))
-        shown = F.when(x.start >= state.at, F.concat(state.out, before, F.lit(mark))).otherwise(state.out)
-        return F.struct(F.greatest(state.at, x.end).alias("at"), shown.alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    replaced = F.aggregate(spans, start, step, lambda s: F.concat(s.out, F.substring(text, s.at + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, replaced).otherwise(text)
+    return spans.replaced(text, found, mark)

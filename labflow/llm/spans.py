@@ -46,19 +46,24 @@ def running(values, merge=lambda a, b: a + b, start=0):
     return let(values, lambda own: F.when(F.size(own) > 0, whole(own)).otherwise(no_longs()))
 
 
-def places(text, pattern, hint=None):
-    """Matches of a pattern: array<struct<start, end, value, left, right>>, leftmost and non-overlapping.
+MATCH = "struct<start:bigint,end:bigint,value:string,left:string,right:string>"
+
+
+def matches(text, pattern, hint=None):
+    """Matches of a pattern as strings, leftmost and non-overlapping; ``hint`` says cheaply that there may be one."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return found if hint is None else F.when(hint, found).otherwise(F.expr("cast(array() as array<string>)"))
 
-    ``left`` and ``right`` are the text up to the neighbouring matches. ``hint`` says cheaply that there may be a match.
-    The pattern must not match an empty string. A null text has none.
+
+def placed(text, pattern, found):
+    """Matches (all that ``matches`` gives, or none) with their places: array<struct<start, end, value, left, right>>.
+
+    ``left`` and ``right`` are the text up to the neighbouring matches. The pattern must not match an empty string.
     """
-    none = F.expr(
-        "cast(array() as array<struct<start:bigint,end:bigint,value:string,left:string,right:string>>)"
-    )
 
-    def placed(found, between):
-        size = F.size(found)
-        pairs = F.arrays_zip(F.slice(between, F.lit(1), size).alias("left"), found.alias("value"))
+    def whole(own, between):
+        size = F.size(own)
+        pairs = F.arrays_zip(F.slice(between, F.lit(1), size).alias("left"), own.alias("value"))
         ends = running(F.transform(pairs, lambda x: (F.length(x.left) + F.length(x.value)).cast("bigint")))
         zipped = F.arrays_zip(
             pairs.alias("pair"), ends.alias("end"), F.slice(between, F.lit(2), size).alias("right")
@@ -74,9 +79,13 @@ def places(text, pattern, hint=None):
             ),
         )
 
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    made = let(found, lambda f: F.when(F.size(f) > 0, placed(f, F.split(text, pattern, -1))).otherwise(none))
-    return F.when(hint if hint is not None else text.isNotNull(), made).otherwise(none)
+    none = F.expr(f"cast(array() as array<{MATCH}>)")
+    return let(found, lambda f: F.when(F.size(f) > 0, whole(f, F.split(text, pattern, -1))).otherwise(none))
+
+
+def places(text, pattern, hint=None):
+    """Matches of a pattern with their places, see ``placed``. A null text has none."""
+    return F.coalesce(placed(text, pattern, matches(text, pattern, hint)), F.expr(f"cast(array() as array<{MATCH}>)"))
 
 
 def bounds(spans):
@@ -84,13 +93,16 @@ def bounds(spans):
     return F.array_sort(F.transform(spans, lambda x: F.struct(x.start.alias("start"), x.end.alias("end"))))
 
 
-def gaps(ordered):
-    """What spans (``bounds``, which may overlap) leave of a text: disjoint stretches in order, the last without end."""
+def gaps(ordered, empty=False):
+    """What spans (``bounds``, which may overlap) leave of a text: disjoint stretches in order, the last without end.
+
+    ``empty`` keeps the empty stretches before a first span at 0 and between spans that touch.
+    """
     ends = running(F.transform(ordered, lambda x: x.end), F.greatest)
     before = F.concat(F.array(F.lit(0).cast("bigint")), ends)
     after = F.concat(F.transform(ordered, lambda x: x.start), F.array(F.lit(LAST)))
     both = F.zip_with(before, after, lambda a, b: F.struct(a.alias("start"), b.alias("end")))
-    return F.filter(both, lambda x: x.start < x.end)
+    return F.filter(both, lambda x: x.start <= x.end if empty else x.start < x.end)
 
 
 def _events(gaps_, spans):
@@ -165,10 +177,8 @@ def cut(spans, covers):
 
 
 def replaced(text, spans, mark):
-    """The text with every stretch that spans (in any order, overlapping or touching) cover replaced by one mark.
-
-    The text is cut into chunks once, so that a stretch is found without reading the text from its beginning.
-    """
+    """The text with every stretch of overlapping spans (in any order) replaced by one mark; spans that only touch have a
+    mark each. The text is cut into chunks once, so that a stretch is found without reading from the beginning."""
 
     def made(free, chunks, length):
         def own(x):
@@ -178,9 +188,9 @@ def replaced(text, spans, mark):
             at = (x.start - first * TEXT_CHUNK + 1).cast("int")
             return F.when(x.start < end, F.substring(F.array_join(near, ""), at, (end - x.start).cast("int"))).otherwise("")
 
-        kept = F.array_join(F.transform(free, own), mark)
-        return F.when(F.element_at(free, 1).start > 0, F.concat(F.lit(mark), kept)).otherwise(kept)
+        return F.array_join(F.transform(free, own), mark)
 
     chunks = F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % TEXT_CHUNK), F.lit(0))
-    found = let(gaps(bounds(spans)), lambda free: let(chunks, lambda c: made(free, c, F.length(text).cast("bigint"))))
+    parts = F.struct(gaps(bounds(spans), True).alias("free"), chunks.alias("chunks"), F.length(text).cast("bigint").alias("length"))
+    found = let(parts, lambda x: made(x.free, x.chunks, x.length))
     return F.when(F.size(spans) > 0, found).otherwise(text)

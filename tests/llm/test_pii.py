@@ -141,7 +141,7 @@ def test_personal_data_that_patterns_miss(spark, model):
         f"call me +1 (017) 555-7713 {CARD} now": {"+1 (017) 555-7713", CARD},
         "write to anna.b2 (at) example (dot) com please": {"anna.b2 (at) example (dot) com"},
         "Tel. 0171-5551234, thanks": {"0171-5551234"},
-        "look at home. Then 12 45 67 89 12 34 56 78 or 2024-01-15 at 10:30, version 1.22.3.4.5, 978-3-16-148410-1": set(),
+        "look at home. Then 12 45 67 89 12 34 56 78 or 2024-01-15 at 10:30, version 1.22.345, 978-3-16-148410-1": set(),
         "12,000 people saw 3.5 of 7.25 km in 1999 - 2003": set(),
     }
     frame = spark.createDataFrame([(t,) for t in texts], "text string")

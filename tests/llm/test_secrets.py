@@ -4,6 +4,7 @@ import re
 import string
 
 import pytest
+from pyspark.sql import functions as F
 
 from labflow.llm import queries_secrets, secrets
 
@@ -126,3 +127,61 @@ def test_redaction(docs, table):
 def test_empty_table(docs):
     none = docs.limit(0)
     assert secrets.scan(none, secrets.train(secrets.labelled_samples(none))).count() == 0
+
+
+def plain_ratio(value, table):
+    n, p, total = len(secrets.ALPHABET) + 1, 0, 0.0
+    for c in value:
+        at = secrets.ALPHABET.find(c) + 1
+        total, p = total + float(f"{table[p * n + at]:.6g}"), at
+    return total / max(len(value), 1)
+
+
+def test_random_spans_by_plain_python(spark, table):
+    """What base spans leave of each run, judged one by one; shorter strings than two secrets have no stretch of their own."""
+    rng = random.Random(12)
+    bits = ["AKIA" + "Q7" * 8, "password=abcdefgh12", " ", "deadbeef" * 4, "getUserName", "/", ".", "\n", "_"]
+    texts = ["".join(rng.choice(bits + ["".join(rng.choices(string.ascii_letters, k=21))] * 3) for _ in range(6)) for _ in range(300)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for r in secrets.scan(frame, table).collect():
+        base = [(s.start, s.end) for s in r.spans if s.kind != "random"]
+        covered = [any(a <= i < b for a, b in base) for i in range(len(r.text))]
+        parts = []
+        for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", r.text):
+            free = "".join("." if covered[i] else "x" for i in range(*m.span()))
+            parts += [(m.start() + x.start(), m.start() + x.end()) for x in re.finditer("x{20,}", free)]
+        got = [(s.start, s.end) for s in r.spans if s.kind == "random"]
+        for a, b in parts:
+            inside = [x for x in got if a <= x[0] and x[1] <= b]
+            if plain_ratio(r.text[a:b], table) >= secrets.THRESHOLD:
+                assert inside == [(a, b)]
+        assert all(any(a <= x[0] and x[1] <= b for a, b in parts) for x in got)
+
+
+@pytest.mark.parametrize("line", ["token{i} = \"abcdefgh{i:06}\";\n", "{blob}\n"])
+def test_time_grows_with_the_number_of_secrets(spark, table, line):
+    import time
+
+    rng = random.Random(8)
+
+    def seconds(n):
+        blob = lambda: "".join(rng.choices(string.ascii_letters + string.digits, k=44))
+        text = "".join(line.replace("{i:06}", f"{i:06}").replace("{i}", "").replace("{blob}", blob()) for i in range(n))
+        frame = spark.createDataFrame([(text,)], "text string")
+        found = secrets.scan(frame, table)
+        started = time.perf_counter()
+        r = found.select(F.size("spans").alias("n"), secrets.redact(found.text, found.spans).alias("out")).first()
+        assert r.n == n and r.out.count("[SECRET]") == n and "abcdefgh" not in r.out
+        return time.perf_counter() - started
+
+    seconds(100)
+    small, large = seconds(2_000), seconds(16_000)
+    assert large < 8 * 2 * small + 3
+
+
+def test_eighty_thousand_assignments(spark, table):
+    text = "".join(f"api_key: abcdefgh{i:06} " for i in range(80_000))
+    frame = spark.createDataFrame([(text,)], "text string")
+    found = secrets.scan(frame, table)
+    r = found.select(F.size("spans").alias("n"), F.length(secrets.redact(found.text, found.spans)).alias("m")).first()
+    assert (r.n, r.m) == (80_000, 80_000 * len("[SECRET] "))
