@@ -102,6 +102,10 @@ def delete_counts(lake, keys):
             F.count_if(~F.col("deleted")).alias("rows_remaining"),
         )
     )
+    return _with_status(asked, found)
+
+
+def _with_status(asked, found):
     status = (
         F.when(F.col("found").isNull(), "not_found").when(F.col("rows_deleted") == 0, "no_match").otherwise("deleted")
     )
@@ -113,6 +117,22 @@ def delete_counts(lake, keys):
     )
 
 
+def deleted_rows(lake, keys):
+    """The key of every row to remove, one row each."""
+    return lake.select(*ROW_KEY).join(keys, ROW_KEY, "left_semi")
+
+
+def counts_of_hits(keys, totals, hits):
+    """``delete_counts`` from rows already found: ``totals`` has the ``row_count`` of partitions, ``hits`` the removed rows."""
+    removed = hits.groupBy(*KEY).agg(F.count(F.lit(1)).alias("removed"))
+    found = totals.join(removed, KEY, "left").select(
+        *KEY,
+        F.coalesce("removed", F.lit(0)).alias("rows_deleted"),
+        (F.col("row_count") - F.coalesce("removed", F.lit(0))).alias("rows_remaining"),
+    )
+    return _with_status(touched_partitions(keys), found)
+
+
 def delete_misses(counts):
     """Requested partitions without data or without a match."""
     return counts.filter("status <> 'deleted'").select(*KEY, "status")

@@ -4,6 +4,8 @@ Each query takes a session and the folder of the tables. Feeds are derived from
 history and batch are its even and odd rows. Queries on sources, sinks and jobs write to the scratch folder first.
 """
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from labflow.functions.lines import file_checked
@@ -15,16 +17,16 @@ from labflow.functions.partition import (
     touched_partitions,
     with_partition,
 )
-from labflow.functions.text import date_text, join_details, render_errors
+from labflow.functions.text import date_text, join_details, render_errors, split_details
 from labflow.operators import audit, delete, quarantine, report, upsert, validate
 from labflow.plans.deletion import delete as delete_job
 from labflow.plans.export import export
 from labflow.plans.ingest import ingest
 from labflow.plans.orders_feed import deletion_requests, lax_feed, orders_feed
-from labflow.plans.reingest import promote
+from labflow.plans.reingest import promote_files
 from labflow.schema import FIELDS
 from labflow.session import new_scratch, written
-from labflow.sinks.commit import Zones
+from labflow.sinks.commit import Zones, append_log
 from labflow.sinks.files import write_feed, write_log_history, write_quarantine, write_report, write_requests
 from labflow.sources import feeds, lake
 from labflow.sources.storage import Folder
@@ -255,6 +257,22 @@ def report_facts(spark, sf):
     return report.report_facts(_lake(spark, sf))
 
 
+def written_report_facts(spark, sf):
+    """Rows of an exported report, the bytes of its rows (each part also has a header), and that its time is known."""
+    zones = Zones.below(new_scratch(spark, "zones"))
+    _lake(spark, sf).hint("rebalance", *KEY).write.partitionBy(*KEY).parquet(zones.lake)
+    facts = export(spark, zones)
+    header = len(",".join(RECORD)) + 1
+    names = ["row_count", "length", "size_mb", "parts", "last_modified"]
+    row = spark.createDataFrame([[facts[n] for n in names]], "row_count long, length long, size_mb double, parts long, last_modified string")
+    return row.select(
+        "row_count",
+        (F.col("length") - header * F.col("parts")).alias("row_bytes"),
+        (F.col("size_mb") == F.round(F.col("length") / F.lit(1024 * 1024), 2)).alias("size_is_shown"),
+        F.to_timestamp("last_modified").isNotNull().alias("time_is_known"),
+    )
+
+
 def distinct_errors(spark, sf):
     return quarantine.distinct_errors(_quarantine(spark, sf))
 
@@ -408,6 +426,27 @@ def log_scan(spark, sf):
     return audit.metrics_only(feeds.read_logs(spark, root))
 
 
+def run_history(spark, sf):
+    """One history: runs of even days come from CSV logs, those of odd days from the log table."""
+    root = new_scratch(spark, "logs")
+    log = written(spark, _log(spark, sf), "log")
+    odd = F.dayofmonth(F.to_timestamp("execution_timestamp")) % 2 == 1
+    write_log_history(log.filter(~odd), f"{root}/execution_1.csv")
+    lines = F.when(F.col("processing_details") != "", split_details(F.col("processing_details")))
+    runs = log.filter(odd).withColumns({"details": lines, "execution_timestamp": F.to_timestamp("execution_timestamp")})
+    append_log(runs.drop("processing_details"), f"{root}/execution", datetime(2025, 12, 1))
+    found = audit.history(feeds.read_all_runs(spark, root))
+    return found.select(
+        F.date_format("execution_timestamp", "yyyy-MM-dd'T'HH:mm:ss").alias("execution_timestamp"),
+        "files_processed",
+        "rows_quarantined",
+        "rows_inserted",
+        "rows_updated",
+        F.size(F.coalesce("details", F.array().cast("array<string>"))).alias("detail_lines"),
+        F.coalesce(join_details(F.col("details")), F.lit("")).alias("processing_details"),
+    )
+
+
 def _written_lake(spark, sf):
     root = new_scratch(spark, "lake")
     _lake(spark, sf).hint("rebalance", *KEY).write.partitionBy(*KEY).parquet(root)
@@ -555,7 +594,7 @@ def reingest_job(spark, sf):
     edits = edit("result = 'Positive'", "result", "POS").unionByName(
         edit("coalesce(viral_load, 'x') = 'x'", "viral_load", "0")
     )
-    promote(spark, zones, quarantine.apply_corrections(held, edits))
+    promote_files(spark, zones, quarantine.apply_corrections(held, edits))
     return feeds.read_landing(spark, zones.landing).rows.select(*FIELDS, "source_file")
 
 
@@ -597,6 +636,7 @@ QUERIES = {
         preview,
         feed_preview,
         report_facts,
+        written_report_facts,
         distinct_errors,
         error_counts,
         pending_files,
@@ -613,6 +653,7 @@ QUERIES = {
         quarantine_scan,
         request_scan,
         log_scan,
+        run_history,
         lake_scan,
         lake_prefix_scan,
         ingest_job,

@@ -330,6 +330,12 @@ UNION ALL SELECT year, week, 'year=' || year || '/week=' || week || ': removed '
         "SELECT sample_id, test_date, result, viral_load, source_file, row_pos FROM feed ORDER BY row_pos LIMIT 10",
     ),
     "report_facts": _with(LAKE, "SELECT CAST(count(*) AS BIGINT) AS row_count FROM lake"),
+    "written_report_facts": _with(
+        LAKE,
+        """SELECT CAST(count(*) AS BIGINT) AS row_count,
+  CAST(sum(strlen(sample_id) + 10 + strlen(result) + strlen(CAST(viral_load AS VARCHAR)) + 4) AS BIGINT) AS row_bytes,
+  true AS size_is_shown, true AS time_is_known FROM lake""",
+    ),
     "distinct_errors": _with(QUARANTINE, "SELECT DISTINCT source_file, pipeline_error FROM quarantine"),
     "error_counts": _with(
         QUARANTINE,
@@ -408,6 +414,11 @@ UNION ALL SELECT 'names.txt', CAST(sum(strlen(n_name) + 1) AS BIGINT), true FROM
         "SELECT replace(execution_timestamp, 'T', ' ') AS execution_timestamp, files_processed, rows_quarantined, "
         "rows_inserted, rows_updated FROM log",
     ),
+    "run_history": _with(
+        LOG,
+        "SELECT *, CASE WHEN processing_details = '' THEN 0 ELSE CAST(len(string_split(processing_details, ' | ')) "
+        "AS INTEGER) END AS detail_lines FROM log",
+    ),
     "lake_scan": _with(
         LAKE,
         "SELECT sample_id, year, week FROM lake WHERE (year = 1996 AND week = 1) OR (year = 1997 AND week = 52)",

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 FIELDS = ["sample_id", "test_date", "result", "viral_load"]
 RESULT_CODES = ["POS", "NEG", "N/A"]
 
-# Columns the pipeline itself adds to quarantined rows.
+# Columns the pipeline itself adds to quarantined rows.
 TECHNICAL = ["pipeline_error", "source_file"]
 
 RECORD = T.StructType(
@@ -49,7 +49,10 @@ def text_feed(fields):
     )
 
 
-# Counters of one run, by kind of run.
+# A file of a zone; uploaded again under its name, it is another file.
+LISTING = "path string, length bigint, modificationTime timestamp"
+
+# Counters of one run, by kind of run.
 COUNTERS = {
     "execution": [
         "files_processed",
@@ -68,3 +71,8 @@ def run_log(kind):
         + [T.StructField(c, T.LongType()) for c in COUNTERS[kind]]
         + [T.StructField("details", T.ArrayType(T.StringType()))]
     )
+
+
+def run_lines():
+    """Schema of the table of all lines of runs."""
+    return "line_order struct<section:int,key:string>, line string, run_id string"

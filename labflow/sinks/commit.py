@@ -1,23 +1,30 @@
-"""Outputs of a run: written aside first, then moved into place together.
+"""What a run leaves behind: replaced partitions, log tables, and the ledger that acknowledges its inputs.
 
-Plain Parquet folders have no transaction. A run therefore writes everything below ``_staging`` folders, which scans
-ignore, and seals the run. Moving sealed outputs into place only renames and deletes folders and can be repeated, so a
-run that was interrupted after sealing is finished by the next one, and a run that was interrupted before sealing
-leaves no trace. One run at a time may work on the same zones.
+Spark replaces the partitions of the lake (dynamic partition overwrite). A run acknowledges its inputs last, so a run that
+broke off anywhere is made up for by the next one, which meets the same files again: replacing partitions by a merge
+gives the same rows twice, and what the broken run had put into quarantine is found by its mark and removed. One run at a
+time may work on the same zones.
 """
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from itertools import islice
+
+from pyspark.sql import functions as F
 
 from labflow.functions.partition import KEY
-from labflow.schema import LAKE
-from labflow.sources.lake import PARTITION_NAMES
-from labflow.sources.storage import Folder, has_files, subfolders
+from labflow.schema import LISTING
+from labflow.session import written
+from labflow.sources.feeds import entry_name, list_files
+from labflow.sources.storage import Folder, has_files
 
-STAGING = "_staging"
-# Partition folders moved at the same time.
-MOVERS = 16
-LEDGER = "path string, length bigint, modificationTime timestamp"
+# Folder of marks of runs that have started and not ended.
+STARTED = "_started"
+LEDGER = f"{LISTING}, run_id string"
+# A month of a log table is rewritten as one file when it has more files than this.
+MOST_FILES = 24
+# Entries deleted at the same time, and looked at together.
+DELETERS, ENTRIES = 16, 1000
 
 
 @dataclass
@@ -37,86 +44,63 @@ class Zones:
         return cls(**{name: f"{root}/{name}" for name in cls.__dataclass_fields__})
 
 
-class Run:
-    """One run's staged outputs."""
-
-    def __init__(self, spark, zones, run_id):
-        self.spark, self.zones, self.run_id = spark, zones, run_id
-
-    def staged(self, zone, name=""):
-        path = f"{getattr(self.zones, zone)}/{STAGING}/{self.run_id}"
-        return f"{path}/{name}" if name else path
-
-    def stage_partitions(self, rows, emptied=()):
-        """Whole new content of lake partitions; ``emptied`` lists partitions that lose their last row."""
-        rows.write.mode("overwrite").partitionBy(*KEY).parquet(self.staged("lake", "rows"))
-        if emptied:
-            self.spark.createDataFrame(list(emptied), "year int, week int").coalesce(1).write.mode("overwrite").json(
-                self.staged("lake", "emptied")
-            )
-
-    def stage_run(self, run, kind):
-        run.write.mode("overwrite").parquet(self.staged("logs", kind))
-
-    def stage_ledger(self, files):
-        files.select("path", "length", "modificationTime").write.mode("overwrite").parquet(
-            self.staged("ledger", "files")
-        )
-
-    def seal(self, retire_inputs=False):
-        """From here on the run will be finished, by whom ever; so will the retirement of its inputs."""
-        if retire_inputs:
-            self._folder("logs", "RETIRE").mark()
-        self._folder("logs", "SEALED").mark()
-
-    def inputs(self):
-        """Paths to delete once the run is in place."""
-        place = self._place("ledger", f"run_id={self.run_id}")
-        if not self._folder("logs", "RETIRE").exists() or not place.exists():
-            return []
-        return [r.path for r in self.spark.read.schema(LEDGER).parquet(str(place)).select("path").toLocalIterator()]
-
-    def _folder(self, zone, name=""):
-        return Folder(self.spark, self.staged(zone, name))
-
-    def _place(self, zone, name):
-        return Folder(self.spark, f"{getattr(self.zones, zone)}/{name}")
-
-    def finish(self):
-        """Move sealed outputs into place: lake, quarantine, audit rows, ledger; then retire inputs. Safe to repeat."""
-        lake = Folder(self.spark, self.zones.lake)
-        moves = [(lake.child("/".join(names)), part) for names, part in subfolders(self._folder("lake", "rows"), PARTITION_NAMES)]
-        with ThreadPoolExecutor(MOVERS) as pool:
-            list(pool.map(lambda move: move[0].replace_with(move[1]), moves))
-        if self._folder("lake", "emptied").exists():
-            emptied = self.spark.read.schema("year int, week int").json(self.staged("lake", "emptied"))
-            for year, week in emptied.toLocalIterator():
-                self._place("lake", f"year={year}/week={week}").delete()
-        self._place("quarantine", f"quarantine_{self.run_id}.csv").replace_with(self._folder("quarantine", "rows"))
-        for kind in ("execution", "execution_lines", "deletion", "deletion_lines", "deleted_ids"):
-            self._place("logs", f"{kind}/run_id={self.run_id}").replace_with(self._folder("logs", kind))
-        self._place("ledger", f"run_id={self.run_id}").replace_with(self._folder("ledger", "files"))
-        retire(self.spark, self.inputs())
-        self.discard()
-
-    def discard(self):
-        for zone in ("lake", "quarantine", "ledger", "logs"):
-            self._folder(zone).delete()
-
-
-def recover(spark, zones):
-    """Finish runs that were interrupted after sealing, their inputs included, and drop what unsealed ones left."""
-    started = {
-        name
-        for zone in ("lake", "quarantine", "ledger", "logs")
-        for name in Folder(spark, f"{getattr(zones, zone)}/{STAGING}").names()
-    }
-    for run_id in sorted(started):
-        run = Run(spark, zones, run_id)
-        if run._folder("logs", "SEALED").exists():
-            run.finish()
-        else:
-            run.discard()
+def replace_partitions(rows, root, emptied=()):
+    """Whole new content of lake partitions. ``rows`` may be read from the partitions they replace.
+
+    Rows that are sorted by partition and something else keep that order in the parts' numbers. ``emptied`` lists
+    partitions that lose their last row, at most one per calendar week: an overwrite leaves those alone.
+    """
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*KEY).parquet(root)
+    for year, week in emptied:
+        Folder(rows.sparkSession, f"{root}/year={year}/week={week}").delete()
+
+
+def append_log(rows, path, now):
+    """Add rows to a log table, kept by month so that many runs leave few files."""
+    month = f"{now:%Y-%m}"
+    writer = rows.withColumn("month", F.lit(month)).coalesce(1).write.partitionBy("month")
+    writer.mode("append").parquet(path)
+    folder = Folder(rows.sparkSession, f"{path}/month={month}")
+    if sum(not n.startswith(("_", ".")) for n in folder.names()) > MOST_FILES:
+        spark = rows.sparkSession
+        held = spark.read.schema(rows.schema).parquet(str(folder)).withColumn("month", F.lit(month))
+        # Read from a copy, as the month itself is what is replaced.
+        copy = written(spark, held, "log")
+        copy.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path)
+
+
+def quarantine_path(zones, run_id):
+    return f"{zones.quarantine}/quarantine_{run_id}.csv"
+
+
+def begin(spark, zones, run_id, zone=None):
+    """Mark a run as started, after tidying up behind runs that broke off; there is one mark for each of these.
+
+    What a run without a line in the ledger left in quarantine goes, as its files are read again. A run that is in the
+    ledger and meant to delete its inputs (``zone`` names where) has that done for it.
+    """
+    marks = Folder(spark, f"{zones.ledger}/{STARTED}")
+    for mark in marks.names():
+        broken, _, of_zone = mark.partition(".")
+        if read_ledger(spark, zones).filter(F.col("run_id") == broken).isEmpty():
+            Folder(spark, quarantine_path(zones, broken)).delete()
+        elif of_zone:
+            retire(spark, zones, of_zone, broken)
+        marks.child(mark).delete()
+    marks.child(f"{run_id}.{zone}" if zone else run_id).mark()
+
+
+def end(spark, zones, run_id):
+    marks = Folder(spark, f"{zones.ledger}/{STARTED}")
+    for mark in marks.names():
+        if mark.partition(".")[0] == run_id:
+            marks.child(mark).delete()
+
+
+def acknowledge(files, zones, run_id, now):
+    """Record input files (path, length, modificationTime) as consumed."""
+    rows = files.select("path", "length", "modificationTime", F.lit(run_id).alias("run_id"))
+    append_log(rows, zones.ledger, now)
 
 
 def read_ledger(spark, zones):
@@ -131,13 +115,30 @@ def consumed(listing, ledger):
     return listing.join(ledger, ["path", "length", "modificationTime"], "left_semi")
 
 
-def retire(spark, paths):
-    """Delete consumed inputs, many at a time."""
-    with ThreadPoolExecutor(MOVERS) as pool:
-        list(pool.map(lambda path: Folder(spark, path).delete(), paths))
+def pending(listing, ledger):
+    """Listed files no run has consumed, empty files included."""
+    return listing.join(ledger, ["path", "length", "modificationTime"], "left_anti")
+
+
+def retire(spark, zones, zone, run_id):
+    """Delete what a run consumed in a zone: whole entries, a folder of many parts by one call.
 
+    An entry with a file that no run has consumed stays. The ledger makes this optional: consumed files are not read
+    again.
+    """
+    root = str(Folder(spark, getattr(zones, zone)))
+    identity = ["path", "length", "modificationTime"]
+    done = read_ledger(spark, zones).groupBy(*identity).agg(F.bool_or(F.col("run_id") == run_id).alias("own"))
+    marked = list_files(spark, root).join(done, identity, "left")
+    entries = marked.groupBy(entry_name(F.col("path"), root).alias("entry")).agg(
+        F.bool_and(F.col("own").isNotNull()).alias("whole"), F.bool_or("own").alias("own")
+    )
+    remove(spark, root, entries.filter("whole AND own").select("entry"))
 
-def staged_rows(run):
-    """The staged partitions as rows."""
-    return run.spark.read.schema(LAKE).parquet(run.staged("lake", "rows"))
 
+def remove(spark, root, entries):
+    """Delete entries (frame of ``entry``) of a folder."""
+    folder, names = Folder(spark, root), (r.entry for r in entries.toLocalIterator())
+    with ThreadPoolExecutor(DELETERS) as pool:
+        while some := list(islice(names, ENTRIES)):
+            list(pool.map(lambda name: folder.child(name).delete(), some))

@@ -50,9 +50,11 @@ def write_log_history(log, path):
 
 
 def written_report_facts(spark, path):
-    """Size and time of a written report."""
+    """Bytes, size as shown, time and number of parts of a written report."""
     parts = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
     return parts.select("path", "length", "modificationTime").agg(
+        F.sum("length").alias("length"),
+        F.count(F.lit(1)).alias("parts"),
         F.round(F.sum("length") / F.lit(1024 * 1024), 2).alias("size_mb"),
         F.date_format(F.max("modificationTime"), "yyyy-MM-dd HH:mm:ss").alias("last_modified"),
     )

@@ -1,37 +1,52 @@
 """CSV feeds read as text, with columns bound by header name.
 
-Spark binds CSV columns by position, so files whose headers differ in order would be mixed up silently. The first line
-of each file, read by tasks, groups the files by header; every group is one scan with positional columns that are then
-named, and the groups are united.
+Spark binds CSV columns by position, so files whose headers differ in order would be mixed up silently. Here every file is
+read once, as lines: a line's fields become an array, the first line of a file is its header, and a join on the path gives
+each row its header, from which names find their positions. However many different headers there are, it is one scan.
 """
 
-import csv
-import re
-from collections import defaultdict
-from dataclasses import dataclass, field
-from functools import reduce
-from urllib.parse import unquote
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labflow.functions.text import split_details
 from labflow.operators.delete import REQUEST_FIELDS
-from labflow.schema import COUNTERS, FIELDS, TECHNICAL, run_log, text_feed
+from labflow.schema import COUNTERS, FIELDS, LISTING, TECHNICAL, run_log, run_lines
+from labflow.session import written
 from labflow.sources.storage import Folder, has_files
 
-LISTING = "path string, length bigint, modificationTime timestamp"
 SOURCE_PARTITION = "source_file="
+# A field in quotes, or whatever stands up to the next comma; quotes inside quotes are doubled.
+FIELD = r',("(?:[^"]++|"")*+"(?=,|\z)|[^,]*+)'
+# A line, or several if a quoted field has line breaks.
+RECORD = r'(?:[^"\r\n]++|"(?:[^"]++|"")*+(?:"|\z))++'
 
 
 @dataclass
 class Feed:
-    """Rows of all readable files; logical names of all files and of the unreadable ones."""
+    """Rows of all readable files, and frames of the feed files' names (``source_file``): all, and those without a header.
+
+    ``extra_columns`` are the names of columns outside the contract, over all headers.
+    """
 
     rows: DataFrame
-    files: list = field(default_factory=list)
-    unreadable: list = field(default_factory=list)
-    extra_columns: list = field(default_factory=list)
+    all_files: DataFrame
+    unreadable_files: DataFrame
+    extra_columns: list
+
+    @property
+    def files(self):
+        """Names of all files on the driver, for a look at a small folder."""
+        return _names(self.all_files)
+
+    @property
+    def unreadable(self):
+        return _names(self.unreadable_files)
+
+
+def _names(files):
+    return [r.source_file for r in files.orderBy("source_file").collect()]
 
 
 def _url_text(c):
@@ -39,45 +54,51 @@ def _url_text(c):
     return F.when(c.contains("%"), F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))).otherwise(c)
 
 
+def entry_name(path, root):
+    """First part of a path below a root: a file or folder there."""
+    return F.substring_index(F.substring(path, len(root) + 2, 1 << 30), "/", 1)
+
+
 def logical_name(path, root):
     """Name of the feed file a path belongs to: the first path part under the root.
 
     A file in the root is its own feed file; a folder written by Spark is one feed file made of its parts, and a
     ``source_file=`` partition is the feed file it is named after.
     """
-    top = F.substring_index(F.substring(path, len(root) + 2, 1 << 30), "/", 1)
+    top = entry_name(path, root)
     named = F.substring(top, len(SOURCE_PARTITION) + 1, 1 << 30)
     return F.when(top.startswith(SOURCE_PARTITION), _url_text(named)).otherwise(top)
 
 
-def name_of(path, root):
-    """``logical_name`` for one path."""
-    top = path[len(root) + 1 :].split("/", 1)[0]
-    return unquote(top[len(SOURCE_PARTITION) :]) if top.startswith(SOURCE_PARTITION) else top
-
-
-def _binary_files(spark, root, pattern):
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", "true")
-        .load(root)
-    )
+def _local_path(c):
+    """A path as listings have it: one slash after the scheme of local files."""
+    return F.regexp_replace(_url_text(c), "^file:///", "file:/")
 
 
 def list_files(spark, root, pattern="*"):
-    """Logical name, path, size and time of all files under a root, empty ones included; no content is read."""
+    """Logical name, path, size and time of all files under a root, empty ones included; no content is read.
+
+    Tasks list sizes and times. They pass empty files over, whose names Spark's own listing hands on as a frame; their
+    size is 0 and their time is not known (null).
+    """
     root = str(Folder(spark, root))
     if not has_files(spark, root):
         listing = spark.createDataFrame([], LISTING)
     else:
-        listing = _binary_files(spark, root, pattern).select("path", "length", "modificationTime")
-        # The scan passes empty files over; Spark's own listing has their names.
-        names = spark.createDataFrame([(p,) for p in feed_paths(spark, root, pattern)], "path string")
-        empty = [
-            (r.path, 0, Folder(spark, r.path).modified()) for r in names.join(listing, "path", "left_anti").toLocalIterator()
-        ]
-        listing = listing.unionByName(spark.createDataFrame(empty, LISTING))
+        found = (
+            spark.read.format("binaryFile")
+            .option("pathGlobFilter", pattern)
+            .option("recursiveFileLookup", "true")
+            .load(root)
+        )
+        listing = found.select("path", "length", "modificationTime")
+        # The names stay in the JVM: this is one call, however many files there are.
+        names = Column(spark._jvm.org.apache.spark.sql.functions.lit(found._jdf.inputFiles()))
+        names = spark.range(1).select(F.explode(names).alias("value")).select(_local_path(F.col("value")).alias("path"))
+        empty = names.join(listing.select("path"), "path", "left_anti").select(
+            "path", F.lit(0).cast("bigint").alias("length"), F.lit(None).cast("timestamp").alias("modificationTime")
+        )
+        listing = listing.unionByName(empty)
     return listing.withColumn("source_file", logical_name(F.col("path"), root))
 
 
@@ -90,116 +111,113 @@ def shown_files(listing):
     )
 
 
-def feed_paths(spark, root, pattern="*.csv"):
-    """Paths of all files under a root, empty files included."""
-    if not has_files(spark, root):
-        return []
-    found = _binary_files(spark, root, pattern).inputFiles()
-    return sorted(re.sub("^file:///", "file:/", unquote(p)) for p in found)
-
-
-def _header(line):
-    """Column names of a header line; a repeated name is numbered so that none is lost."""
-    names, seen = [], defaultdict(int)
-    for name in next(csv.reader([line.lstrip("﻿")])):
-        repeat = seen[name]
-        seen[name] += 1
-        names.append(f"{name}_duplicated_{repeat - 1}" if repeat else name)
-    return tuple(names)
-
-
-def _literal_path(path):
-    """Keep a path that holds glob characters from being read as a pattern."""
-    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
-
-
-def _headers(spark, paths):
-    """Files by header, and files without one. Tasks read the files; one line of each comes back."""
-    groups = defaultdict(list)
-    if not paths:
-        return groups, []
-    lines = spark.read.text([_literal_path(p) for p in paths]).select(
-        "value",
-        _url_text(F.col("_metadata.file_path")).alias("path"),
+def _lines(spark, root, pattern, since, multi_line):
+    """Every line of the files under a root that are not older than ``since``, with its place; blank lines are left out."""
+    reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
+    lines = reader.option("wholetext", str(multi_line).lower()).text(root)
+    if since is not None:
+        # Older files are passed over when the folder is listed.
+        lines = lines.filter(F.col("_metadata.file_modification_time") >= F.lit(since))
+    place = [
+        _local_path(F.col("_metadata.file_path")).alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("seq"),
-    )
-    first = lines.filter("block = 0").groupBy("path").agg(F.min_by("value", "seq").alias("line"))
-    for r in first.filter("line <> ''").toLocalIterator():
-        groups[_header(r.line)].append(r.path)
-    readable = {p for files in groups.values() for p in files}
-    return groups, [p for p in paths if p not in readable]
-
-
-def _too_many_fields(line, width):
-    """Whether a record Spark found malformed has more fields than the header; separators in quotes do not count."""
-    bare = F.regexp_replace(F.regexp_replace(line, '"[^"]*"', ""), "[^,]", "")
-    return line.isNotNull() & (F.length(bare) >= width)
-
-
-def _scan(spark, paths, header, fields, root, multi_line):
-    columns = [f"c{i}" for i in range(len(header))]
-    rows = (
-        spark.read.schema(", ".join(f"{c} string" for c in [*columns, "malformed"]))
-        .option("header", "true")
-        .option("escape", '"')
-        .option("multiLine", str(multi_line).lower())
-        .option("columnNameOfCorruptRecord", "malformed")
-        # Fields are counted against the whole header, whichever columns a query reads.
-        .option("columnPruning", "false")
-        .csv([_literal_path(p) for p in paths])
-        .withColumn("_path", _url_text(F.col("_metadata.file_path")))
-    )
-    at = dict(zip(header, columns))
-    extra = [n for n in header if n not in fields and n not in TECHNICAL]
-    pairs = [x for n in extra for x in (F.lit(n), F.col(at[n]))]
-    return rows.select(
-        *[(F.col(at[f]) if f in at else F.lit(None).cast("string")).alias(f) for f in fields],
-        F.array(*[F.lit(f) for f in fields if f not in at]).cast("array<string>").alias("missing"),
-        (F.create_map(*pairs) if pairs else F.lit(None)).cast("map<string,string>").alias("extra"),
-        logical_name(F.col("_path"), root).alias("source_file"),
-        F.struct(
-            F.col("_path").alias("path"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("seq"),
-        ).alias("row_pos"),
-        # Spark does not read the text of malformed records without any other column.
-        (_too_many_fields(F.col("malformed"), len(header)) & (F.length(F.coalesce("c0", F.lit(""))) >= 0)).alias("ragged"),
-    )
+    ]
+    if multi_line:
+        lines = lines.select(*place, F.posexplode(F.regexp_extract_all("value", F.lit(RECORD), F.lit(0))).alias("seq", "value"))
+        lines = lines.withColumn("seq", F.col("seq").cast("bigint"))
+    else:
+        lines = lines.select(*place, F.monotonically_increasing_id().alias("seq"), "value")
+    return lines.filter(F.col("value").rlike(r"[^\x00-\x20]"))
+
+
+def _fields(line):
+    """The fields of a line; an empty field, in quotes or not, is null."""
+    raw = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(FIELD), F.lit(1))
+
+    def value(x):
+        quoted = (F.length(x) >= 2) & x.startswith('"') & x.endswith('"')
+        inner = F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))
+        return F.nullif(F.when(quoted, inner).otherwise(x), F.lit(""))
+
+    return F.transform(raw, value)
+
 
+def _header(fields):
+    """Column names of a header; a repeated name is numbered so that none is lost."""
+    names = F.transform(fields, lambda n: F.coalesce(n, F.lit("")))
+    names = F.transform(names, lambda n, i: F.when(i == 0, F.regexp_replace(n, "^\ufeff", "")).otherwise(n))
 
-def read_feed(spark, root, fields, pattern="*.csv", paths=None, multi_line=False):
+    def numbered(name, i):
+        before = F.size(F.filter(F.slice(names, F.lit(1), i), lambda n: n == name))
+        return F.when(before > 0, F.concat(name, F.lit("_duplicated_"), before - 1)).otherwise(name)
+
+    return F.transform(names, numbered)
+
+
+def read_feed(spark, root, fields, pattern="*.csv", only=None, multi_line=False):
     """All CSV files under a root as text rows with the same columns, whatever their headers.
 
     ``missing`` names the wanted columns a row's file lacks, ``extra`` holds its other columns, ``row_pos`` orders the
-    rows of a file and ``ragged`` marks rows with more fields than their header. ``paths`` restricts the scan to these
-    files. ``multi_line`` admits line breaks inside quoted fields, at the price of files that cannot be split.
+    rows of a file and ``ragged`` marks rows with more fields than their header. ``only``, a frame of paths and
+    modification times from ``list_files``, restricts the scan to these files. ``multi_line`` admits line breaks inside
+    quoted fields, at the price of files that cannot be split. The lines are parsed once, into a table in the scratch
+    folder, from which headers and rows are read.
     """
     root = str(Folder(spark, root))
-    paths = feed_paths(spark, root, pattern) if paths is None else sorted(paths)
-    groups, unreadable = _headers(spark, paths)
-    scans = [_scan(spark, files, header, fields, root, multi_line) for header, files in sorted(groups.items())]
-    empty = spark.createDataFrame([], text_feed(fields).add("ragged", "boolean"))
+    listing = list_files(spark, root, pattern) if only is None else only
+    since = None if only is None else only.agg(F.min("modificationTime")).first()[0]
+    if not has_files(spark, root) or (only is not None and since is None):
+        lines = spark.createDataFrame([], "path string, block bigint, seq bigint, value string")
+    else:
+        lines = _lines(spark, root, pattern, since, multi_line)
+    parsed = lines.select("path", "block", "seq", _fields(F.col("value")).alias("cells"))
+    if only is not None:
+        parsed = parsed.join(only.select("path"), "path", "left_semi")
+    parsed = written(spark, parsed, "lines")
+    first = parsed.filter("block = 0").groupBy("path").agg(F.min_by("cells", "seq").alias("header"), F.min("seq").alias("first"))
+    headers = written(spark, first.withColumn("header", _header(F.col("header"))), "headers")
+    named = parsed.join(headers, "path").filter("block > 0 OR seq <> first")
+
+    header, cells = F.col("header"), F.col("cells")
+    known = [*fields, *TECHNICAL]
+    others = F.filter(
+        F.transform(header, lambda n, i: F.struct(n.alias("name"), F.get(cells, i).alias("value"), i.alias("at"))),
+        # Of names that are equal in spite of their numbers the first counts.
+        lambda x: ~x["name"].isin(known) & (F.array_position(header, x["name"]) == x["at"] + 1),
+    )
+    extra = F.map_from_entries(F.transform(others, lambda x: F.struct(x["name"], x["value"])))
+    absent = F.filter(F.array(*[F.lit(f) for f in fields]), lambda f: ~F.array_contains(header, f))
+    at = {f: F.array_position(header, F.lit(f)).cast("int") for f in fields}
+    rows = named.select(
+        *[F.when(at[f] > 0, F.get(cells, at[f] - 1)).alias(f) for f in fields],
+        absent.cast("array<string>").alias("missing"),
+        F.when(F.size(others) > 0, extra).alias("extra"),
+        logical_name(F.col("path"), root).alias("source_file"),
+        F.struct("path", "block", "seq").alias("row_pos"),
+        (F.size(cells) > F.size(header)).alias("ragged"),
+    )
+    outside = headers.select(F.explode("header").alias("name")).filter(~F.col("name").isin(known)).distinct()
+    files = written(spark, listing.select("path", "source_file").join(headers.select("path", "first"), "path", "left"), "files")
     return Feed(
-        rows=reduce(DataFrame.unionByName, scans) if scans else empty,
-        files=sorted({name_of(p, root) for p in paths}),
-        unreadable=sorted({name_of(p, root) for p in unreadable}),
-        extra_columns=sorted({n for h in groups for n in h if n not in fields and n not in TECHNICAL}),
+        rows=rows,
+        all_files=files.select("source_file").distinct(),
+        unreadable_files=files.filter("first IS NULL").select("source_file").distinct(),
+        extra_columns=sorted(r.name for r in outside.collect()),  # as many as there are different columns
     )
 
 
-def read_landing(spark, root, paths=None, multi_line=False):
-    return read_feed(spark, root, FIELDS, paths=paths, multi_line=multi_line)
+def read_landing(spark, root, only=None, multi_line=False):
+    return read_feed(spark, root, FIELDS, only=only, multi_line=multi_line)
 
 
-def read_deletion_requests(spark, root, paths=None):
+def read_deletion_requests(spark, root, only=None):
     """Requests as text: an id of digits only keeps its leading zeros."""
-    return read_feed(spark, root, REQUEST_FIELDS, paths=paths)
+    return read_feed(spark, root, REQUEST_FIELDS, only=only)
 
 
-def read_quarantine(spark, root, paths=None):
+def read_quarantine(spark, root, only=None):
     """Quarantined rows as text, their errors included; ``N/A`` stays text."""
-    feed = read_feed(spark, root, [*FIELDS, "pipeline_error"], paths=paths)
+    feed = read_feed(spark, root, [*FIELDS, "pipeline_error"], only=only)
     # Files without an error column are corrected files; that column is not part of the contract.
     feed.rows = feed.rows.withColumn("missing", F.array_remove("missing", "pipeline_error"))
     return feed
@@ -209,10 +227,8 @@ def read_logs(spark, root, kind="execution"):
     """Runs from ``execution_*`` or ``deletion_*`` CSV logs, details as joined text; unreadable files are skipped."""
     counters = COUNTERS[kind]
     names = ["execution_timestamp", *counters, "processing_details"]
-    root = str(Folder(spark, root))
-    # Only files of the kind are opened.
-    paths = [p for p in feed_paths(spark, root, "*.csv") if name_of(p, root).startswith(f"{kind}_")]
-    rows = read_feed(spark, root, names, paths=paths).rows
+    listing = list_files(spark, root, "*.csv").filter(F.col("source_file").startswith(f"{kind}_"))
+    rows = read_feed(spark, root, names, only=written(spark, listing, "logs")).rows
     # A file with a row longer than its header is unreadable.
     rows = rows.join(rows.filter("ragged").select("source_file").distinct(), "source_file", "left_anti")
     return rows.select(
@@ -233,10 +249,9 @@ def read_runs(spark, root, kind="execution"):
 def read_run_lines(spark, root, kind="execution"):
     """All lines of all runs, as rows with the run's id."""
     folder = f"{root}/{kind}_lines"
-    schema = "line_order struct<section:int,key:string>, line string, run_id string"
     if not has_files(spark, folder):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(folder)
+        return spark.createDataFrame([], run_lines())
+    return spark.read.schema(run_lines()).option("recursiveFileLookup", "true").parquet(folder)
 
 
 def read_all_runs(spark, root, kind="execution"):

@@ -1,7 +1,5 @@
 """Folder operations through the Hadoop file system the session is configured for."""
 
-from datetime import datetime
-
 
 class Folder:
     """A path and its file system; works for any scheme the cluster can reach."""
@@ -32,9 +30,6 @@ class Folder:
             return []
         return sorted(s.getPath().getName() for s in self.fs.listStatus(self.path))
 
-    def modified(self):
-        return datetime.fromtimestamp(self.fs.getFileStatus(self.path).getModificationTime() / 1000)
-
     def delete(self):
         return self.fs.delete(self.path, True)
 
@@ -42,15 +37,6 @@ class Folder:
         """Create an empty file here."""
         self.fs.create(self.path, True).close()
 
-    def replace_with(self, other):
-        """Put ``other`` in this place. Repeating the call after an interruption finishes it."""
-        if not other.exists():
-            return
-        self.delete()
-        self.fs.mkdirs(self.path.getParent())
-        if not self.fs.rename(other.path, self.path):
-            raise OSError(f"could not move {other} to {self}")
-
 
 def has_files(spark, path):
     """Whether a folder holds anything a scan would see."""

@@ -9,7 +9,8 @@ from conftest import rows
 from labflow.operators import audit, quarantine
 from labflow.plans.deletion import delete
 from labflow.plans.export import export
-from labflow.plans.ingest import ingest, pending_paths
+from labflow.plans import ingest as ingest_plan
+from labflow.plans.ingest import ingest, pending_files
 from labflow.plans.reingest import discard, promote, reingest
 from labflow.sinks import commit
 from labflow.sources import feeds
@@ -58,7 +59,7 @@ def test_land_quarantine_correct_reingest_delete_report(spark, zones, put):
     edits = held.rows.select("source_file", "row_pos", *cell)
     names = promote(spark, zones, quarantine.apply_corrections(held.rows, edits))
     assert names == held.files
-    commit.retire(spark, feeds.feed_paths(spark, zones.quarantine))
+    discard(spark, zones, held.files)
     put("landing", "Lab_Results_2.csv", HEAD + "TEST-001,2025-12-03,NEG,7\n")
     assert ingest(spark, zones) == counters(3, 0, 1, 1)
     assert lake(spark, zones) == [
@@ -118,7 +119,7 @@ def test_same_input_again_inserts_nothing(spark, zones, put):
 def test_consumed_files_that_were_kept_are_not_read_twice(spark, zones, put):
     put("landing", "Lab_Results_1.csv", DAY1)
     ingest(spark, zones, retire_inputs=False)
-    assert left(zones, "landing") == ["Lab_Results_1.csv"] and pending_paths(spark, zones, "landing") == []
+    assert left(zones, "landing") == ["Lab_Results_1.csv"] and pending_files(spark, zones, "landing").isEmpty()
     put("landing", "Lab_Results_1.csv", DAY1 + "TEST-003,2025-12-01,POS,1\n")
     assert ingest(spark, zones, retire_inputs=False) == counters(1, 1, 1, 2)
 
@@ -176,7 +177,7 @@ def test_discarded_quarantine_files_go(spark, zones, put):
     put("landing", "a.csv", HEAD + "A,bad,POS,1\n")
     ingest(spark, zones)
     discard(spark, zones, left(zones, "quarantine"))
-    assert feeds.feed_paths(spark, zones.quarantine) == []
+    assert feeds.list_files(spark, zones.quarantine, "*.csv").isEmpty()
 
 
 @pytest.mark.parametrize("mode", ["dedup", "append"])
@@ -229,52 +230,79 @@ class Interrupted(Exception):
     pass
 
 
-def test_a_run_cut_off_while_moving_is_finished_by_the_next(spark, zones, put, monkeypatch):
+@pytest.mark.parametrize("at", ["write_quarantine", "replace_partitions", "write_audit", "acknowledge", "retire"])
+@pytest.mark.parametrize("mode", ["dedup", "append"])
+def test_a_run_that_breaks_off_is_made_up_for(spark, zones, put, monkeypatch, at, mode):
+    """Whichever step is the last to end, the next run leaves what an unbroken one leaves."""
     put("landing", "a.csv", HEAD + "a,2025-12-01,POS,1\nb,2025-12-15,POS,2\nc,bad,POS,2\n")
-    ingest(spark, zones)
+    ingest(spark, zones, new_partition=mode)
     put("landing", "b.csv", HEAD + "a,2025-12-02,NEG,9\nd,2025-12-15,POS,4\ne,bad,POS,4\n")
-    moved = []
-    real = commit.Folder.replace_with
+    real = getattr(ingest_plan, at)
 
-    def once(self, other):
-        if moved:
-            raise Interrupted
-        moved.append(str(self))
-        real(self, other)
+    def cut_off(*args, **options):
+        real(*args, **options)
+        raise Interrupted
 
-    monkeypatch.setattr(commit.Folder, "replace_with", once)
-    monkeypatch.setattr(commit, "MOVERS", 1)
+    monkeypatch.setattr(ingest_plan, at, cut_off)
     with pytest.raises(Interrupted):
-        ingest(spark, zones)
+        ingest(spark, zones, new_partition=mode)
     monkeypatch.undo()
-    assert left(zones, "landing") == ["b.csv"]
-    # The next run completes the first, finds its file consumed, and has nothing of its own to do.
-    assert ingest(spark, zones) == counters(0, 0, 0, 0)
-    assert left(zones, "landing") == []
+    again = ingest(spark, zones, new_partition=mode)
+    # Once a run is in the ledger, nothing is left to do but to delete its inputs.
+    assert again["files_processed"] == (0 if at in ("acknowledge", "retire") else 1)
+    assert left(zones, "landing") == [] and len(left(zones, "quarantine")) == 2
     assert lake(spark, zones) == [
         ("a", "2025-12-02", "NEG", 9),
         ("b", "2025-12-15", "POS", 2),
         ("d", "2025-12-15", "POS", 4),
     ]
-    runs = feeds.read_runs(spark, zones.logs).orderBy("execution_timestamp")
-    assert [r.rows_inserted for r in runs.collect()] == [2, 1, 0]
-    assert len(left(zones, "quarantine")) == 2
+    assert os.listdir(f"{zones.ledger}/_started") == []
 
 
-def test_a_run_cut_off_before_sealing_leaves_no_trace(spark, zones, put, monkeypatch):
-    put("landing", "a.csv", DAY1)
+def test_a_broken_deletion_is_made_up_for(spark, zones, put, monkeypatch):
+    from labflow.plans import deletion
 
-    def fail(self, retire_inputs):
+    put("landing", "a.csv", HEAD + "a,2025-12-01,POS,1\nb,2025-12-15,POS,2\nc,2025-12-15,POS,2\n")
+    ingest(spark, zones)
+    put("requests", "r.csv", "sample_id,test_date\na,2025-12-01\nb,2025-12-16\n")
+    real = deletion.replace_partitions
+
+    def cut_off(*args, **options):
+        real(*args, **options)
         raise Interrupted
 
-    monkeypatch.setattr(commit.Run, "seal", fail)
+    monkeypatch.setattr(deletion, "replace_partitions", cut_off)
     with pytest.raises(Interrupted):
-        ingest(spark, zones)
+        delete(spark, zones)
     monkeypatch.undo()
-    assert lake(spark, zones) == [] and left(zones, "landing") == ["a.csv"]
-    assert ingest(spark, zones) == counters(1, 1, 2, 0)
-    assert len(left(zones, "quarantine")) == 1 and len(lake(spark, zones)) == 2
-    assert feeds.read_runs(spark, zones.logs).count() == 1
+    assert left(zones, "requests") == ["r.csv"]
+    assert delete(spark, zones)["files_processed"] == 1
+    assert left(zones, "requests") == [] and [s for s, *_ in lake(spark, zones)] == ["c"]
+
+
+def test_many_runs_leave_few_files(spark, zones):
+    from datetime import datetime
+
+    now = datetime(2025, 12, 1)
+    for i in range(60):
+        commit.append_log(spark.createDataFrame([(i,)], "n int"), f"{zones.logs}/numbers", now)
+    assert len(_parts(f"{zones.logs}/numbers/month=2025-12")) <= commit.MOST_FILES + 1
+    assert rows(spark.read.parquet(f"{zones.logs}/numbers"), "n") == sorted([(i,) for i in range(60)], key=str)
+
+
+def test_consumed_files_are_not_opened_again(spark, zones, put):
+    """A file that was consumed and kept may even be unreadable by now."""
+    put("landing", "old.csv", DAY1)
+    os.utime(f"{zones.landing}/old.csv", (1_700_000_000, 1_700_000_000))
+    ingest(spark, zones, retire_inputs=False)
+    put("landing", "new.csv", HEAD + "TEST-003,2025-12-01,POS,1\n")
+    todo = pending_files(spark, zones, "landing")
+    scan = feeds.read_landing(spark, zones.landing, todo)
+    assert scan.files == ["new.csv"] and rows(scan.rows, "sample_id") == [("TEST-003",)]
+    since = todo.agg(F.min("modificationTime")).first()[0]
+    lines = feeds._lines(spark, zones.landing, "*.csv", since, False)
+    assert [os.path.basename(f) for f in {r.path for r in lines.select("path").collect()}] == ["new.csv"]
+    assert ingest(spark, zones, retire_inputs=False) == counters(1, 0, 1, 0)
 
 
 def test_stream_takes_each_file_once(spark, zones, put, tmp_path):
@@ -291,6 +319,32 @@ def test_stream_takes_each_file_once(spark, zones, put, tmp_path):
     assert feeds.read_runs(spark, zones.logs).count() == 2
 
 
+def test_the_stream_says_which_files_are_ingested(spark, zones, put, tmp_path):
+    from labflow.streaming import incremental
+
+    checkpoint = str(tmp_path / "checkpoint")
+    put("landing", "a.csv", HEAD + "A,2025-01-06,POS,1\n")
+    put("landing", "b.csv", HEAD + "B,2025-01-06,POS,1\n")
+    seen = incremental.landing_files
+
+    def one_file(spark, zones, per_batch=None):
+        return seen(spark, zones, per_batch).filter(F.col("path").endswith("a.csv"))
+
+    incremental.landing_files = one_file
+    try:
+        ingest_new_files(spark, zones, checkpoint)
+    finally:
+        incremental.landing_files = seen
+    assert left(zones, "landing") == ["b.csv"] and [s for s, *_ in lake(spark, zones)] == ["A"]
+    # A broken run's files wait for the next, also without anything new.
+    name = f"file:{zones.landing}/b.csv"
+    waiting = spark.createDataFrame([(name, 1, None)], "path string, length bigint, modificationTime timestamp")
+    for _ in range(2):
+        waiting.write.mode("overwrite").parquet(f"{checkpoint}/waiting/batch=7")
+    ingest_new_files(spark, zones, checkpoint)
+    assert left(zones, "landing") == [] and [s for s, *_ in lake(spark, zones)] == ["A", "B"]
+
+
 @pytest.mark.parametrize("per_batch", [1, 1000])
 def test_the_last_row_does_not_depend_on_micro_batches(spark, zones, put, tmp_path, per_batch):
     for name, load in (("c.csv", 3), ("a.csv", 1), ("b.csv", 2)):
