@@ -114,7 +114,7 @@ def shown_files(listing):
 def _lines(spark, root, pattern, since, multi_line):
     """Every line of the files under a root that are not older than ``since``, with its place; blank lines are left out."""
     reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
-    lines = reader.option("wholetext", str(multi_line).lower()).text(root)
+    lines = reader.text(root, wholetext=multi_line)
     if since is not None:
         # Older files are passed over when the folder is listed.
         lines = lines.filter(F.col("_metadata.file_modification_time") >= F.lit(since))

@@ -39,8 +39,15 @@ class Folder:
 
 
 def has_files(spark, path):
-    """Whether a folder holds anything a scan would see."""
-    return any(not n.startswith(("_", ".")) for n in Folder(spark, path).names())
+    """Whether a folder holds anything a scan would see; looks no further than the first such entry."""
+    folder = Folder(spark, path)
+    if not folder.exists():
+        return False
+    entries = folder.fs.listStatusIterator(folder.path)
+    while entries.hasNext():
+        if not entries.next().getPath().getName().startswith(("_", ".")):
+            return True
+    return False
 
 
 def subfolders(folder, patterns):

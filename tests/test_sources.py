@@ -131,3 +131,47 @@ def test_synthetic_feed(spark):
     assert date.fromisoformat(first.test_date).isocalendar()[1] == 49
     again = synthetic_feed(spark, "2025-12-01", weeks=4, per_week=2500, seed=3)
     assert feed.exceptAll(again).count() == 0
+
+
+def test_a_listing_takes_as_many_calls_for_many_files(spark, zones, put):
+    """Empty files are listed without a call for each."""
+    client = spark._jvm._gateway_client
+    real, calls = client.send_command, []
+
+    def counted(command, *args, **options):
+        calls.append(command)
+        return real(command, *args, **options)
+
+    numbers = {}
+    for n in (10, 1000):
+        for i in range(n):
+            put("landing", f"empty_{i}.csv", "")
+        put("landing", "full.csv", HEAD)
+        client.send_command = counted
+        try:
+            calls.clear()
+            listing = feeds.list_files(spark, zones.landing)
+            numbers[n] = sum(not c.startswith("m\n") for c in calls)
+        finally:
+            client.send_command = real
+        assert listing.count() == n + 1 and listing.filter("length = 0").count() == n
+    # The first listing looks some classes up.
+    assert numbers[1000] <= numbers[10] + 5, numbers
+
+
+def test_one_scan_for_any_number_of_headers(spark, zones, put):
+    scans = []
+    for n in (1, 6):
+        for i in range(n):
+            put("landing", f"f{i}.csv", HEAD.replace("viral_load", f"viral_load,site_{i}") + f"s{i},2025-12-01,POS,1,lab\n")
+        rows_ = feeds.read_landing(spark, zones.landing).rows
+        scans.append(rows_._jdf.queryExecution().optimizedPlan().toString().count("parquet"))
+        assert rows_.count() == n
+    assert scans[0] == scans[1]
+
+
+def test_line_breaks_in_quotes(spark, zones, put):
+    put("landing", "a.csv", 'sample_id,note,test_date,result,viral_load\r\n"a\nb","x ""y"", z",2025-12-01,POS,1\r\n\r\nc,,2025-12-01,NEG,2')
+    feed = feeds.read_landing(spark, zones.landing, multi_line=True)
+    got = rows(feed.rows.select("sample_id", F.col("extra")["note"].alias("note"), "viral_load"), "sample_id", "note", "viral_load")
+    assert got == [("a\nb", 'x "y", z', "1"), ("c", None, "2")]
