@@ -89,3 +89,11 @@ def test_no_documents(spark, folder, tmp_path):
 def test_ten_queries_are_registered():
     assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
     assert set(SQL) <= set(QUERIES)
+
+
+def test_packing_stage_takes_a_long_run_of_spaces(spark):
+    from labflow.llm import stages
+
+    docs = spark.createDataFrame([(1, "a" + " " * 1_200_000 + "b"), (2, "x")], "doc_id long, text string")
+    packed = stages.pack_sequences(spark, docs, None).groupBy("doc_id").agg({"length": "sum", "doc_tokens": "max"}).collect()
+    assert {r[0]: r[1] == r[2] for r in packed} == {1: True, 2: True}
