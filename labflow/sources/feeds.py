@@ -197,7 +197,7 @@ def read_feed(spark, root, fields, pattern="*.csv", only=None, multi_line=False)
         (F.size(cells) > F.size(header)).alias("ragged"),
     )
     outside = headers.select(F.explode("header").alias("name")).filter(~F.col("name").isin(known)).distinct()
-    files = written(spark, listing.select("path", "source_file").join(headers.select("path", "first"), "path", "left"), "files")
+    files = listing.select("path", "source_file").join(headers.select("path", "first"), "path", "left")
     return Feed(
         rows=rows,
         all_files=files.select("source_file").distinct(),
