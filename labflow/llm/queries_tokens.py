@@ -52,11 +52,7 @@ def digest_of_pieces(packed, *more):
 def op9_token_counts(spark, folder):
     """Tokens of every text, and whether they exceed the limit."""
     vocabulary = tokens.vocabulary(spark, public_tokenizers.path(COUNT_MODEL))
-    docs = read_table(spark, folder, "documents").select("doc_id", "text")
-    counted = tokens.count_tokens(docs, vocabulary, "sentencepiece")
-    return counted.select(
-        "doc_id",
-        F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"),
-        "n_tokens",
-        (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"),
-    )
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")
+    docs = read_table(spark, folder, "documents").select("doc_id", "text", size.alias("n_bytes"))
+    counted = tokens.count_tokens(docs, vocabulary, "sentencepiece", keep=["doc_id", "n_bytes"])
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))

@@ -9,10 +9,12 @@ import hashlib
 import re
 from array import array
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from labflow.llm.common import BoundedCache, ship_package, slices, with_columns
+from labflow.llm.common import BoundedCache, Scratch, ship_package, slices, with_columns
 
 # Characters that every splitting pattern takes for white space.
 SPACE = "\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -183,35 +185,107 @@ def pre_tokens(text, kind):
     return SAFE_PIECE.findall(text)
 
 
-def count_tokens(docs, vocabulary, kind, text="text", out="n_tokens"):
+def count_tokens(docs, vocabulary, kind, text="text", out="n_tokens", keep=None, scratch=None):
     """Add ``out``: the number of tokens of each whole text (bigint; 0 for null and empty texts).
 
-    Per slice of rows, every distinct pre-token is counted once by the model (counts of earlier slices are kept in a
-    bounded cache); each document's pre-token frequencies are joined to these counts and summed. The frequencies never
-    leave the task: sent through a shuffle, they would be several times the size of the texts.
+    Every distinct pre-token of the table is counted once by the model, in a table of its own, and joined to the
+    documents' pre-token frequencies. No ids leave the model's task.
+
+    1. Rows are taken in blocks of about ``SLICE_CHARS`` characters. A block has a list of its distinct pre-tokens, and a
+       document is places in that list with their frequencies: this is what is written and shuffled, not pre-tokens.
+    2. The lists' distinct pre-tokens are counted, then joined to the lists: a pre-token, however frequent, is one row for
+       each block that it comes in.
+    3. Every block meets its counts and sums them for each of its documents.
+
+    ``keep``: the columns of ``docs`` to return (all if not given; the text then goes through the shuffle too). One called
+    ``out`` in any case gives way. Repeated rows each have their result. Tables are written to ``scratch``, which
+    the caller may clear once the result has been read.
     """
-    from collections import Counter
+    spark = docs.sparkSession
+    ship_package(spark)
+    scratch = scratch or Scratch(spark, "counts")
+    names = [c for c in (docs.columns if keep is None else keep) if c.lower() != out.lower()]
+    # Names of our own while the rows are on their way, so that none clashes.
+    own = docs.select(F.col(f"`{text}`").alias("text"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    rest = T.StructType([T.StructField(f.name, f.dataType) for f in own.schema.fields[1:]])
+    block = T.StructType.fromDDL("block bigint, listed array<string>, places array<int>, times array<int>")
+    taken = T.StructType(block.fields + rest.fields)
+    table, _ = scratch.table(own.mapInArrow(lambda batches: _frequencies(batches, kind, rest.names), taken))
+
+    entries = table.where("listed IS NOT NULL").select(
+        F.col("block").alias("home"), F.posexplode("listed").alias("place", "word")
+    )
+    counts, _ = scratch.table(pre_token_counts(entries.select("word").distinct(), vocabulary, kind))
+    known = entries.join(counts, "word").select("home", "place", "n")
+    result = T.StructType(rest.fields + [T.StructField("n", T.LongType())])
+    summed = (
+        table.where("listed IS NULL")
+        .select("block", "places", "times", *rest.names)
+        .groupBy("block")
+        .cogroup(known.groupBy("home"))
+        .applyInArrow(lambda rows, counts: _summed(rows, counts, rest.names), result)
+    )
+    return summed.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], F.col("n").alias(out))
 
-    ship_package(docs.sparkSession)
+
+def pre_token_counts(words, vocabulary, kind):
+    """(word, n) for a frame of pre-tokens: how many tokens the model makes of each."""
+    ship_package(words.sparkSession)
 
     @F.arrow_udf("bigint")
-    def n_tokens(batch: pa.Array) -> pa.Array:
+    def counted(batch: pa.Array) -> pa.Array:
         name, data = vocabulary.value
         count = _once(("count", name, kind), lambda: _counter(name, data, kind))
-        counts = _once(("counts", name, kind), lambda: BoundedCache(CACHED))
-        texts = _texts(batch)
-        totals = []
-        for start, end in slices([len(t) for t in texts], SLICE_CHARS):
-            frequencies = [Counter(pre_tokens(t, kind)) for t in texts[start:end]]
-            words = set().union(*frequencies)
-            new = list(words - counts.keys())
-            counts.room_for(new, words)
-            for first, last in slices([len(w) for w in new], SLICE_CHARS):
-                counts.update(zip(new[first:last], count(new[first:last])))
-            totals += [sum(n * counts[w] for w, n in own.items()) for own in frequencies]
-        return pa.array(totals, pa.int64())
-
-    return with_columns(docs, {out: n_tokens(F.col(f"`{text}`"))})
+        found, n = batch.to_pylist(), []
+        for first, last in slices([len(w) for w in found], SLICE_CHARS):
+            n += count(found[first:last])
+        return pa.array(n, pa.int64())
+
+    return words.select("word", counted("word").alias("n"))
+
+
+def _frequencies(batches, kind, others):
+    """Blocks of rows: one row that lists the block's distinct pre-tokens, and one for each document.
+
+    Numbers of blocks hold in the written table only, where each task's rows come from one attempt.
+    """
+    from collections import Counter
+
+    from pyspark import TaskContext
+
+    block = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        texts = _texts(batch.column("text"))
+        for first, last in slices([len(t) for t in texts], SLICE_CHARS):
+            number, places, times = {}, [], []
+            for t in texts[first:last]:
+                own = Counter(pre_tokens(t, kind))
+                places.append([number.setdefault(w, len(number)) for w in own])
+                times.append(list(own.values()))
+            rows = last - first
+            made = {
+                "block": pa.array([block] * (rows + 1), pa.int64()),
+                "listed": pa.array([None] * rows + [list(number)], pa.list_(pa.string())),
+                "places": pa.array(places + [None], pa.list_(pa.int32())),
+                "times": pa.array(times + [None], pa.list_(pa.int32())),
+            }
+            at = pa.array([*range(first, last), None], pa.int64())
+            made |= {c: batch.column(c).take(at) for c in others}
+            yield pa.RecordBatch.from_pydict(made)
+            block += 1
+
+
+def _summed(rows, counts, others):
+    """Sums of counts times frequencies for the documents of one block."""
+    place, n = (counts[c].to_numpy() for c in ("place", "n"))
+    by_place = np.zeros(int(place.max()) + 1 if len(place) else 1, "i8")
+    by_place[place] = n
+    places, times = (rows[c].combine_chunks() for c in ("places", "times"))
+    each = by_place[np.asarray(places.flatten())] * np.asarray(times.flatten(), "i8")
+    ends = np.r_[0, np.cumsum(np.asarray(pa.compute.list_value_length(places), "i8"))]
+    total = np.r_[0, np.cumsum(each)]
+    made = {c: rows[c] for c in others}
+    return pa.table(made | {"n": pa.array(total[ends[1:]] - total[ends[:-1]], pa.int64())})
 
 
 # ---- packing --------------------------------------------------------------------------------------------------

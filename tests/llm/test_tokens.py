@@ -7,6 +7,7 @@ import public_tokenizers
 import pytest
 
 from labflow.llm import queries_tokens, tokens
+from labflow.llm.common import Scratch
 
 ODD = [
     None,
@@ -212,3 +213,26 @@ def test_empty_table_and_query_digests(spark, docs, tmp_path):
     assert (piece.length, piece.ids_crc32) == (1, zlib.crc32(b"\0\0\0\0"))
     counted = {r.doc_id: r for r in queries_tokens.op9_token_counts(spark, f"{folder}/some").collect()}
     assert counted[13].over_limit and counted[0].n_bytes == 0 and not counted[0].over_limit
+
+
+def test_each_pre_token_is_counted_once(spark, monkeypatch):
+    """Blocks of any size give the same counts, and the model sees every distinct pre-token one time."""
+    monkeypatch.setattr(tokens, "SLICE_CHARS", 200)
+    rows = [(i, "the same words, mostly " * 30 + f"end{i % 7}", "c", i) for i in range(60)] + [(None, None, "x", 1)] * 2
+    rows += [(i, "", None, None) for i in range(3)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, block string, n int").repartition(5)
+    vocabulary = tokens.vocabulary(spark, public_tokenizers.path(queries_tokens.COUNT_MODEL))
+    scratch = Scratch(spark, "counted")
+    got = tokens.count_tokens(frame, vocabulary, "sentencepiece", scratch=scratch)
+    assert got.columns == ["doc_id", "text", "block", "n", "n_tokens"]
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_proto=vocabulary.value[1])
+    expected = sorted((str(r[:1] + r[2:]), len(model.encode(r[1] or ""))) for r in rows)
+    assert sorted((str((r.doc_id, r.block, r.n)), r.n_tokens) for r in got.collect()) == expected
+    counted = spark.read.parquet(f"{scratch.root}/2").collect()
+    words = {w for r in rows for w in tokens.pre_tokens(r[1] or "", "sentencepiece")}
+    assert sorted(r.word for r in counted) == sorted(words)
+    narrow = tokens.count_tokens(frame, vocabulary, "sentencepiece", out="N", keep=["doc_id", "n"])
+    assert narrow.columns == ["doc_id", "N"] and narrow.count() == len(rows)
+    scratch.clear()
