@@ -40,10 +40,10 @@ class Scratch:
         self.count += 1
         return f"{self.root}/{self.count}"
 
-    def table(self, df):
+    def table(self, df, compression="snappy"):
         """Write a frame and read it back: cuts the lineage and survives the loss of executors."""
         path = self.path()
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
         return self.spark.read.schema(df.schema).parquet(path), path
 
     def clear(self):

@@ -11,6 +11,7 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +32,8 @@ WHOLE = r"(?s:.+)"
 
 PIECE_CHARS = 1 << 16
 SLICE_CHARS = 4 << 20
+# Documents that share a list of pre-tokens: the more, the fewer rows there are for a pre-token.
+BLOCK_CHARS = 16 << 20
 CACHED = 200_000
 # Texts of characters that every version of the splitting pattern sorts alike.
 LATIN = re.compile("[\n\x20-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]*")
@@ -188,13 +191,13 @@ def pre_tokens(text, kind):
 def count_tokens(docs, vocabulary, kind, text="text", out="n_tokens", keep=None, scratch=None):
     """Add ``out``: the number of tokens of each whole text (bigint; 0 for null and empty texts).
 
-    Every distinct pre-token of the table is counted once by the model, in a table of its own, and joined to the
-    documents' pre-token frequencies. No ids leave the model's task.
+    Every distinct pre-token of the table is counted once by the model, and its count joined to the documents' pre-token
+    frequencies, which are summed. No ids leave the model's task.
 
-    1. Rows are taken in blocks of about ``SLICE_CHARS`` characters. A block has a list of its distinct pre-tokens, and a
-       document is places in that list with their frequencies: this is what is written and shuffled, not pre-tokens.
-    2. The lists' distinct pre-tokens are counted, then joined to the lists: a pre-token, however frequent, is one row for
-       each block that it comes in.
+    1. Rows are taken in blocks of about ``BLOCK_CHARS`` characters. A block has a list of its distinct pre-tokens, and a
+       document is places in that list with their frequencies, as packed bytes.
+    2. The lists are joined by pre-token: each one, however frequent, is one row for each block that it comes in, so a
+       hot one adds some 40 bytes for a block of megabytes. The model counts the first row of each, the others take that.
     3. Every block meets its counts and sums them for each of its documents.
 
     ``keep``: the columns of ``docs`` to return (all if not given; the text then goes through the shuffle too). One called
@@ -208,19 +211,17 @@ def count_tokens(docs, vocabulary, kind, text="text", out="n_tokens", keep=None,
     # Names of our own while the rows are on their way, so that none clashes.
     own = docs.select(F.col(f"`{text}`").alias("text"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
     rest = T.StructType([T.StructField(f.name, f.dataType) for f in own.schema.fields[1:]])
-    block = T.StructType.fromDDL("block bigint, listed array<string>, places array<int>, times array<int>")
+    block = T.StructType.fromDDL("block bigint, listed array<string>, packed binary")
     taken = T.StructType(block.fields + rest.fields)
-    table, _ = scratch.table(own.mapInArrow(lambda batches: _frequencies(batches, kind, rest.names), taken))
-
+    table, _ = scratch.table(own.mapInArrow(lambda batches: _frequencies(batches, kind, rest.names), taken), "zstd")
     entries = table.where("listed IS NOT NULL").select(
         F.col("block").alias("home"), F.posexplode("listed").alias("place", "word")
     )
-    counts, _ = scratch.table(pre_token_counts(entries.select("word").distinct(), vocabulary, kind))
-    known = entries.join(counts, "word").select("home", "place", "n")
+    known = pre_token_counts(entries, vocabulary, kind).select("home", "place", "n")
     result = T.StructType(rest.fields + [T.StructField("n", T.LongType())])
     summed = (
         table.where("listed IS NULL")
-        .select("block", "places", "times", *rest.names)
+        .select("block", "packed", *rest.names)
         .groupBy("block")
         .cogroup(known.groupBy("home"))
         .applyInArrow(lambda rows, counts: _summed(rows, counts, rest.names), result)
@@ -228,20 +229,27 @@ def count_tokens(docs, vocabulary, kind, text="text", out="n_tokens", keep=None,
     return summed.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], F.col("n").alias(out))
 
 
-def pre_token_counts(words, vocabulary, kind):
-    """(word, n) for a frame of pre-tokens: how many tokens the model makes of each."""
-    ship_package(words.sparkSession)
+def pre_token_counts(entries, vocabulary, kind, word="word", out="n"):
+    """Add ``out`` to rows that hold a pre-token: how many tokens the model makes of it; equal ones are counted once.
+
+    One shuffle by pre-token brings equal ones together.
+    """
+    ship_package(entries.sparkSession)
 
     @F.arrow_udf("bigint")
     def counted(batch: pa.Array) -> pa.Array:
         name, data = vocabulary.value
         count = _once(("count", name, kind), lambda: _counter(name, data, kind))
-        found, n = batch.to_pylist(), []
+        found, n = batch.drop_null().to_pylist(), []
         for first, last in slices([len(w) for w in found], SLICE_CHARS):
             n += count(found[first:last])
-        return pa.array(n, pa.int64())
+        at = np.cumsum(np.asarray(batch.is_valid())) - 1
+        return pa.array(n, pa.int64()).take(pa.array(at, mask=np.asarray(batch.is_null())))
 
-    return words.select("word", counted("word").alias("n"))
+    same = Window.partitionBy(word)
+    first = F.row_number().over(same.orderBy(word)) == 1
+    once = entries.withColumn("_first", F.when(first, F.col(word))).withColumn("_counted", counted("_first"))
+    return once.withColumn(out, F.max("_counted").over(same.orderBy(word))).drop("_first", "_counted")
 
 
 def _frequencies(batches, kind, others):
@@ -256,18 +264,16 @@ def _frequencies(batches, kind, others):
     block = TaskContext.get().partitionId() << 32
     for batch in batches:
         texts = _texts(batch.column("text"))
-        for first, last in slices([len(t) for t in texts], SLICE_CHARS):
-            number, places, times = {}, [], []
+        for first, last in slices([len(t) for t in texts], BLOCK_CHARS):
+            number, packed = {}, []
             for t in texts[first:last]:
                 own = Counter(pre_tokens(t, kind))
-                places.append([number.setdefault(w, len(number)) for w in own])
-                times.append(list(own.values()))
+                packed.append(_packed([number.setdefault(w, len(number)) for w in own], list(own.values())))
             rows = last - first
             made = {
                 "block": pa.array([block] * (rows + 1), pa.int64()),
                 "listed": pa.array([None] * rows + [list(number)], pa.list_(pa.string())),
-                "places": pa.array(places + [None], pa.list_(pa.int32())),
-                "times": pa.array(times + [None], pa.list_(pa.int32())),
+                "packed": pa.array(packed + [None], pa.binary()),
             }
             at = pa.array([*range(first, last), None], pa.int64())
             made |= {c: batch.column(c).take(at) for c in others}
@@ -275,17 +281,29 @@ def _frequencies(batches, kind, others):
             block += 1
 
 
+def _packed(places, times):
+    """Places, ascending and as differences, and frequencies; bytes of equal rank lie together, so they compress well."""
+    places, times = np.array(places, "i8"), np.array(times, "<u4")
+    order = np.argsort(places)
+    steps = np.diff(places[order], prepend=0).astype("<u4")
+    return np.stack([steps, times[order]], 1).view("u1").reshape(len(places), 8).T.tobytes()
+
+
+def _unpacked(packed):
+    steps, times = np.frombuffer(packed, "u1").reshape(8, -1).T.copy().view("<u4").T
+    return np.cumsum(steps, dtype="i8"), times.astype("i8")
+
+
 def _summed(rows, counts, others):
     """Sums of counts times frequencies for the documents of one block."""
     place, n = (counts[c].to_numpy() for c in ("place", "n"))
     by_place = np.zeros(int(place.max()) + 1 if len(place) else 1, "i8")
     by_place[place] = n
-    places, times = (rows[c].combine_chunks() for c in ("places", "times"))
-    each = by_place[np.asarray(places.flatten())] * np.asarray(times.flatten(), "i8")
-    ends = np.r_[0, np.cumsum(np.asarray(pa.compute.list_value_length(places), "i8"))]
-    total = np.r_[0, np.cumsum(each)]
-    made = {c: rows[c] for c in others}
-    return pa.table(made | {"n": pa.array(total[ends[1:]] - total[ends[:-1]], pa.int64())})
+    sums = []
+    for packed in rows["packed"]:
+        places, times = _unpacked(packed.as_py())
+        sums.append(int(by_place[places] @ times))
+    return pa.table({c: rows[c] for c in others} | {"n": pa.array(sums, pa.int64())})
 
 
 # ---- packing --------------------------------------------------------------------------------------------------

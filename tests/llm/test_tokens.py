@@ -216,8 +216,8 @@ def test_empty_table_and_query_digests(spark, docs, tmp_path):
 
 
 def test_each_pre_token_is_counted_once(spark, monkeypatch):
-    """Blocks of any size give the same counts, and the model sees every distinct pre-token one time."""
-    monkeypatch.setattr(tokens, "SLICE_CHARS", 200)
+    """Small blocks give the same counts, and the model sees every distinct pre-token one time."""
+    monkeypatch.setattr(tokens, "BLOCK_CHARS", 200)
     rows = [(i, "the same words, mostly " * 30 + f"end{i % 7}", "c", i) for i in range(60)] + [(None, None, "x", 1)] * 2
     rows += [(i, "", None, None) for i in range(3)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, block string, n int").repartition(5)
@@ -230,9 +230,26 @@ def test_each_pre_token_is_counted_once(spark, monkeypatch):
     model = sentencepiece.SentencePieceProcessor(model_proto=vocabulary.value[1])
     expected = sorted((str(r[:1] + r[2:]), len(model.encode(r[1] or ""))) for r in rows)
     assert sorted((str((r.doc_id, r.block, r.n)), r.n_tokens) for r in got.collect()) == expected
-    counted = spark.read.parquet(f"{scratch.root}/2").collect()
-    words = {w for r in rows for w in tokens.pre_tokens(r[1] or "", "sentencepiece")}
-    assert sorted(r.word for r in counted) == sorted(words)
     narrow = tokens.count_tokens(frame, vocabulary, "sentencepiece", out="N", keep=["doc_id", "n"])
     assert narrow.columns == ["doc_id", "N"] and narrow.count() == len(rows)
     scratch.clear()
+    seen = spark.sparkContext.accumulator(0)
+
+    def counter(*_):
+        def count(words):
+            seen.add(len(words))
+            return [len(w) for w in words]
+
+        return count
+
+    monkeypatch.setattr(tokens, "_once", lambda key, make: counter())
+    words = spark.createDataFrame([(i, w) for i in range(50) for w in ("a", "bc", "def" * 9, f"own{i}")], "i int, word string")
+    found = tokens.pre_token_counts(words.repartition(7), vocabulary, "sentencepiece").collect()
+    assert len(found) == 200 and all(r.n == len(r.word) for r in found) and seen.value == 53
+
+
+def test_packed_frequencies():
+    for places, times in (([], []), ([0], [1]), ([70000, 3, 255, 256], [1, 1 << 31, 2, 300])):
+        order = np.argsort(np.array(places, int))
+        got = tokens._unpacked(tokens._packed(places, times))
+        assert [x.tolist() for x in got] == [np.array(x, int)[order].tolist() for x in (places, times)]
