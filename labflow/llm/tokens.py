@@ -33,7 +33,9 @@ WHOLE = r"(?s:.+)"
 PIECE_CHARS = 1 << 16
 SLICE_CHARS = 4 << 20
 # Documents that share a list of pre-tokens: the more, the fewer rows there are for a pre-token.
-BLOCK_CHARS = 16 << 20
+BLOCK_CHARS, BLOCK_ROWS = 16 << 20, 100_000
+# Counts of pre-tokens that a task gathers by block before it sends them.
+GATHERED = 1 << 20
 CACHED = 200_000
 # Texts of characters that every version of the splitting pattern sorts alike.
 LATIN = re.compile("[\n\x20-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]*")
@@ -218,6 +220,7 @@ def count_tokens(docs, vocabulary, kind, text="text", out="n_tokens", keep=None,
         F.col("block").alias("home"), F.posexplode("listed").alias("place", "word")
     )
     known = pre_token_counts(entries, vocabulary, kind).select("home", "place", "n")
+    known = known.mapInArrow(_gathered, "home bigint, counts binary")
     result = T.StructType(rest.fields + [T.StructField("n", T.LongType())])
     summed = (
         table.where("listed IS NULL")
@@ -262,23 +265,57 @@ def _frequencies(batches, kind, others):
     from pyspark import TaskContext
 
     block = TaskContext.get().partitionId() << 32
+    number, packed, held, chars = {}, [], [], 0
+
+    def rows():
+        made = {
+            "block": pa.array([block] * (len(packed) + 1), pa.int64()),
+            "listed": pa.array([None] * len(packed) + [list(number)], pa.list_(pa.string())),
+            "packed": pa.array(packed + [None], pa.binary()),
+        }
+        at = pa.array([*range(len(packed)), None], pa.int64())
+        return pa.RecordBatch.from_pydict(
+            made | {c: pa.concat_arrays([part.column(c) for part in held]).take(at) for c in others}
+        )
+
     for batch in batches:
-        texts = _texts(batch.column("text"))
-        for first, last in slices([len(t) for t in texts], BLOCK_CHARS):
-            number, packed = {}, []
-            for t in texts[first:last]:
-                own = Counter(pre_tokens(t, kind))
-                packed.append(_packed([number.setdefault(w, len(number)) for w in own], list(own.values())))
-            rows = last - first
-            made = {
-                "block": pa.array([block] * (rows + 1), pa.int64()),
-                "listed": pa.array([None] * rows + [list(number)], pa.list_(pa.string())),
-                "packed": pa.array(packed + [None], pa.binary()),
-            }
-            at = pa.array([*range(first, last), None], pa.int64())
-            made |= {c: batch.column(c).take(at) for c in others}
-            yield pa.RecordBatch.from_pydict(made)
-            block += 1
+        start = 0
+        for i, t in enumerate(_texts(batch.column("text"))):
+            if packed and (chars + len(t) > BLOCK_CHARS or len(packed) >= BLOCK_ROWS):
+                held.append(batch.slice(start, i - start))
+                yield rows()
+                number, packed, held, chars, start = {}, [], [], 0, i
+                block += 1
+            own = Counter(pre_tokens(t, kind))
+            packed.append(_packed([number.setdefault(w, len(number)) for w in own], list(own.values())))
+            chars += len(t)
+        held.append(batch.slice(start))
+    if packed:
+        yield rows()
+
+
+def _gathered(batches):
+    """Counts of the same block side by side, as packed bytes: fewer and shorter rows for the shuffle to the blocks."""
+    held, rows = [], 0
+
+    def packed():
+        home, place, n = (np.concatenate([np.asarray(b.column(c)) for b in held]) for c in ("home", "place", "n"))
+        order = np.argsort(home, kind="stable")
+        starts = np.flatnonzero(np.r_[True, np.diff(home[order]) != 0])
+        parts = np.split(order, starts[1:])
+        made = [_packed(place[part], n[part]) for part in parts]
+        return pa.RecordBatch.from_pydict(
+            {"home": pa.array(home[order[starts]], pa.int64()), "counts": pa.array(made, pa.binary())}
+        )
+
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= GATHERED:
+            yield packed()
+            held, rows = [], 0
+    if rows:
+        yield packed()
 
 
 def _packed(places, times):
@@ -296,9 +333,10 @@ def _unpacked(packed):
 
 def _summed(rows, counts, others):
     """Sums of counts times frequencies for the documents of one block."""
-    place, n = (counts[c].to_numpy() for c in ("place", "n"))
-    by_place = np.zeros(int(place.max()) + 1 if len(place) else 1, "i8")
-    by_place[place] = n
+    known = [_unpacked(x.as_py()) for x in counts["counts"]]
+    by_place = np.zeros(max((int(place[-1]) + 1 for place, _ in known), default=1), "i8")
+    for place, n in known:
+        by_place[place] = n
     sums = []
     for packed in rows["packed"]:
         places, times = _unpacked(packed.as_py())

@@ -217,7 +217,9 @@ def test_empty_table_and_query_digests(spark, docs, tmp_path):
 
 def test_each_pre_token_is_counted_once(spark, monkeypatch):
     """Small blocks give the same counts, and the model sees every distinct pre-token one time."""
-    monkeypatch.setattr(tokens, "BLOCK_CHARS", 200)
+    monkeypatch.setattr(tokens, "BLOCK_CHARS", 2000)
+    monkeypatch.setattr(tokens, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(tokens, "GATHERED", 5)
     rows = [(i, "the same words, mostly " * 30 + f"end{i % 7}", "c", i) for i in range(60)] + [(None, None, "x", 1)] * 2
     rows += [(i, "", None, None) for i in range(3)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, block string, n int").repartition(5)
