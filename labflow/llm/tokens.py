@@ -7,11 +7,11 @@ megabytes that does not depend on the data.
 import base64
 import hashlib
 import re
+import zlib
 from array import array
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,8 +34,9 @@ PIECE_CHARS = 1 << 16
 SLICE_CHARS = 4 << 20
 # Documents that share a list of pre-tokens: the more, the fewer rows there are for a pre-token.
 BLOCK_CHARS, BLOCK_ROWS = 16 << 20, 100_000
-# Counts of pre-tokens that a task gathers by block before it sends them.
-GATHERED = 1 << 20
+LEAST_BUCKETS = 64
+# Packed lists that are handed on at a time.
+DEALT_ROWS = 1000
 CACHED = 200_000
 # Texts of characters that every version of the splitting pattern sorts alike.
 LATIN = re.compile("[\n\x20-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]*")
@@ -198,8 +199,9 @@ def count_tokens(docs, vocabulary, kind, text="text", out="n_tokens", keep=None,
 
     1. Rows are taken in blocks of about ``BLOCK_CHARS`` characters. A block has a list of its distinct pre-tokens, and a
        document is places in that list with their frequencies, as packed bytes.
-    2. The lists are joined by pre-token: each one, however frequent, is one row for each block that it comes in, so a
-       hot one adds some 40 bytes for a block of megabytes. The model counts the first row of each, the others take that.
+    2. The lists are dealt to buckets by a hash of the pre-token, packed, one row for each block and bucket. There are as
+       many buckets as blocks, so a bucket holds about as many rows of pre-tokens as a list, and a hot pre-token is one
+       of them for each block. The model counts each distinct pre-token of a bucket once; the rows go back as counts.
     3. Every block meets its counts and sums them for each of its documents.
 
     ``keep``: the columns of ``docs`` to return (all if not given; the text then goes through the shuffle too). One called
@@ -216,11 +218,8 @@ def count_tokens(docs, vocabulary, kind, text="text", out="n_tokens", keep=None,
     block = T.StructType.fromDDL("block bigint, listed array<string>, packed binary")
     taken = T.StructType(block.fields + rest.fields)
     table, _ = scratch.table(own.mapInArrow(lambda batches: _frequencies(batches, kind, rest.names), taken), "zstd")
-    entries = table.where("listed IS NOT NULL").select(
-        F.col("block").alias("home"), F.posexplode("listed").alias("place", "word")
-    )
-    known = pre_token_counts(entries, vocabulary, kind).select("home", "place", "n")
-    known = known.mapInArrow(_gathered, "home bigint, counts binary")
+    lists = table.where("listed IS NOT NULL").select(F.col("block").alias("home"), "listed")
+    known = pre_token_counts(lists, vocabulary, kind, max(LEAST_BUCKETS, lists.count()))
     result = T.StructType(rest.fields + [T.StructField("n", T.LongType())])
     summed = (
         table.where("listed IS NULL")
@@ -232,27 +231,82 @@ def count_tokens(docs, vocabulary, kind, text="text", out="n_tokens", keep=None,
     return summed.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], F.col("n").alias(out))
 
 
-def pre_token_counts(entries, vocabulary, kind, word="word", out="n"):
-    """Add ``out`` to rows that hold a pre-token: how many tokens the model makes of it; equal ones are counted once.
+def pre_token_counts(lists, vocabulary, kind, buckets):
+    """How many tokens the model makes of every pre-token of (home, listed): rows (home, packed places and counts).
 
-    One shuffle by pre-token brings equal ones together.
+    One shuffle brings equal pre-tokens together, which are counted once.
     """
-    ship_package(entries.sparkSession)
+    ship_package(lists.sparkSession)
 
-    @F.arrow_udf("bigint")
-    def counted(batch: pa.Array) -> pa.Array:
+    def counted(batches):
         name, data = vocabulary.value
         count = _once(("count", name, kind), lambda: _counter(name, data, kind))
-        found, n = batch.drop_null().to_pylist(), []
-        for first, last in slices([len(w) for w in found], SLICE_CHARS):
-            n += count(found[first:last])
-        at = np.cumsum(np.asarray(batch.is_valid())) - 1
-        return pa.array(n, pa.int64()).take(pa.array(at, mask=np.asarray(batch.is_null())))
-
-    same = Window.partitionBy(word)
-    first = F.row_number().over(same.orderBy(word)) == 1
-    once = entries.withColumn("_first", F.when(first, F.col(word))).withColumn("_counted", counted("_first"))
-    return once.withColumn(out, F.max("_counted").over(same.orderBy(word))).drop("_first", "_counted")
+        bucket, rows = None, []
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "home", "places", "words"))):
+                if row[0] != bucket and rows:
+                    yield _counts_of(rows, count)
+                    rows = []
+                bucket = row[0]
+                rows.append(row[1:])
+        if rows:
+            yield _counts_of(rows, count)
+
+    dealt = lists.mapInArrow(lambda batches: _dealt(batches, buckets), "bucket bigint, home bigint, places binary, words binary")
+    met = dealt.repartition("bucket").sortWithinPartitions("bucket")
+    return met.mapInArrow(counted, "home bigint, counts binary")
+
+
+def _dealt(batches, buckets):
+    """Each list in packed parts, one for each bucket that it has pre-tokens of."""
+    for batch in batches:
+        for home, listed in zip(batch.column("home").to_pylist(), batch.column("listed")):
+            words = [w.encode() for w in listed.values.to_pylist()]
+            if not words:
+                continue
+            number = np.fromiter(map(zlib.crc32, words), "i8", len(words)) % buckets
+            order = np.argsort(number, kind="stable")
+            starts = np.flatnonzero(np.r_[True, np.diff(number[order]) != 0])
+            parts = np.split(order, starts[1:])
+            for first in range(0, len(parts), DEALT_ROWS):
+                some = parts[first : first + DEALT_ROWS]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "bucket": pa.array([int(number[x[0]]) for x in some], pa.int64()),
+                        "home": pa.array([home] * len(some), pa.int64()),
+                        "places": pa.array([_packed(x, np.zeros(len(x))) for x in some], pa.binary()),
+                        "words": pa.array([_packed_words([words[i] for i in x]) for x in some], pa.binary()),
+                    }
+                )
+
+
+def _packed_words(words):
+    """Lengths and bytes of words, compressed."""
+    lengths = np.array([len(w) for w in words], "<u4").view("u1").reshape(-1, 4).T.tobytes()
+    return len(words).to_bytes(4, "little") + zlib.compress(lengths + b"".join(words), 1)
+
+
+def _unpacked_words(packed):
+    n = int.from_bytes(packed[:4], "little")
+    raw = zlib.decompress(packed[4:])
+    lengths = np.frombuffer(raw, "u1", 4 * n).reshape(4, n).T.copy().view("<u4")[:, 0]
+    ends = 4 * n + np.r_[0, np.cumsum(lengths, dtype="i8")]
+    return [raw[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())]
+
+
+def _counts_of(rows, count):
+    """The rows (home, places, words) of a bucket with counts in place of the words."""
+    number, at = {}, []
+    for _, _, words in rows:
+        at.append([number.setdefault(w, len(number)) for w in _unpacked_words(words)])
+    words, n = [w.decode() for w in number], []
+    for first, last in slices([len(w) for w in words], SLICE_CHARS):
+        n += count(words[first:last])
+    n = np.array(n, "i8")
+    made = [_packed(_unpacked(places)[0], n[own]) for (_, places, _), own in zip(rows, at)]
+    return pa.RecordBatch.from_pydict(
+        {"home": pa.array([r[0] for r in rows], pa.int64()), "counts": pa.array(made, pa.binary())}
+    )
 
 
 def _frequencies(batches, kind, others):
@@ -294,30 +348,6 @@ def _frequencies(batches, kind, others):
         yield rows()
 
 
-def _gathered(batches):
-    """Counts of the same block side by side, as packed bytes: fewer and shorter rows for the shuffle to the blocks."""
-    held, rows = [], 0
-
-    def packed():
-        home, place, n = (np.concatenate([np.asarray(b.column(c)) for b in held]) for c in ("home", "place", "n"))
-        order = np.argsort(home, kind="stable")
-        starts = np.flatnonzero(np.r_[True, np.diff(home[order]) != 0])
-        parts = np.split(order, starts[1:])
-        made = [_packed(place[part], n[part]) for part in parts]
-        return pa.RecordBatch.from_pydict(
-            {"home": pa.array(home[order[starts]], pa.int64()), "counts": pa.array(made, pa.binary())}
-        )
-
-    for batch in batches:
-        held.append(batch)
-        rows += batch.num_rows
-        if rows >= GATHERED:
-            yield packed()
-            held, rows = [], 0
-    if rows:
-        yield packed()
-
-
 def _packed(places, times):
     """Places, ascending and as differences, and frequencies; bytes of equal rank lie together, so they compress well."""
     places, times = np.array(places, "i8"), np.array(times, "<u4")

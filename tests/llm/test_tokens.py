@@ -219,7 +219,8 @@ def test_each_pre_token_is_counted_once(spark, monkeypatch):
     """Small blocks give the same counts, and the model sees every distinct pre-token one time."""
     monkeypatch.setattr(tokens, "BLOCK_CHARS", 2000)
     monkeypatch.setattr(tokens, "BLOCK_ROWS", 4)
-    monkeypatch.setattr(tokens, "GATHERED", 5)
+    monkeypatch.setattr(tokens, "LEAST_BUCKETS", 3)
+    monkeypatch.setattr(tokens, "DEALT_ROWS", 2)
     rows = [(i, "the same words, mostly " * 30 + f"end{i % 7}", "c", i) for i in range(60)] + [(None, None, "x", 1)] * 2
     rows += [(i, "", None, None) for i in range(3)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, block string, n int").repartition(5)
@@ -245,9 +246,12 @@ def test_each_pre_token_is_counted_once(spark, monkeypatch):
         return count
 
     monkeypatch.setattr(tokens, "_once", lambda key, make: counter())
-    words = spark.createDataFrame([(i, w) for i in range(50) for w in ("a", "bc", "def" * 9, f"own{i}")], "i int, word string")
-    found = tokens.pre_token_counts(words.repartition(7), vocabulary, "sentencepiece").collect()
-    assert len(found) == 200 and all(r.n == len(r.word) for r in found) and seen.value == 53
+    lists = [(i, ["a", "bc", "é\0" * 9, f"own{i}"][i % 2 :]) for i in range(50)] + [(99, [])]
+    frame = spark.createDataFrame(lists, "home long, listed array<string>").repartition(7)
+    got = {i: {} for i, _ in lists}
+    for r in tokens.pre_token_counts(frame, vocabulary, "sentencepiece", 5).collect():
+        got[r.home].update(zip(*(x.tolist() for x in tokens._unpacked(r.counts))))
+    assert got == {i: {k: len(w) for k, w in enumerate(words)} for i, words in lists} and seen.value == 53
 
 
 def test_packed_frequencies():
