@@ -164,7 +164,8 @@ def near_duplicates(vectors, threshold=0.93, key="vec_id", vector="embedding", l
     }
     decoders = {}
 
-    @F.arrow_udf("array<bigint>")
+    # Numbers of filters stay below 2^31 with ``CODES`` codes of ``MOST_DIRECTIONS`` squared filters each.
+    @F.arrow_udf("array<int>")
     def decoded(batch: pa.Array) -> pa.Array:
         out = [None] * len(batch)
         sizes = np.asarray(pa.compute.list_value_length(batch))
@@ -173,8 +174,8 @@ def near_duplicates(vectors, threshold=0.93, key="vec_id", vector="embedding", l
                 decoders[d] = Decoder(int(d), directions, heights[d])
             at = np.flatnonzero(sizes == d)
             for i, own in zip(at, decoders[d].filters(matrix(batch.take(pa.array(at)), int(d)))):
-                out[i] = own
-        return pa.array(out, pa.list_(pa.int64()))
+                out[i] = own.astype("i4")
+        return pa.array(out, pa.list_(pa.int32()))
 
     lists, _ = scratch.table(classes.withColumn("filters", decoded("v")).withColumn("d", F.size("v")))
     entries = lists.select("label", "d", F.explode("filters").alias("f"), "rep")
@@ -187,8 +188,10 @@ def near_duplicates(vectors, threshold=0.93, key="vec_id", vector="embedding", l
     split = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.xxhash64("rep"), split).cast("int")
     met = (
-        lists.join(live, "rep")
-        .select("rep", "m", "v", "filters", F.xxhash64("label", "d").alias("space"), F.explode("live").alias("x"))
+        lists.drop("filters")
+        .join(live, "rep")
+        # Filters that two classes share are live in both, so the others need not travel.
+        .select("rep", "m", "v", F.col("live.f").alias("filters"), F.xxhash64("label", "d").alias("space"), F.explode("live").alias("x"))
         .select("rep", "m", "v", "filters", "space", "x.f", "x.n")
         .withColumn("side", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), split - 1)))
